@@ -1,8 +1,9 @@
 """The queries of this package and their SQL twins, by name."""
 
-from quadrille.llm import exact_dedup, sharding
+from quadrille.llm import bpe, exact_dedup, sharding
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op8_sharding": sharding.op8_sharding,
 }
