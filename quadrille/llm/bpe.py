@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -332,7 +333,7 @@ def _worker(name: str) -> WordBpe:
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with their texts, each of about :data:`SLICE_CHARS` bytes, one row at least."""
     column = batch.column(batch.schema.get_field_index(text))
-    size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(column):
         end = int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE_CHARS)) + 1
