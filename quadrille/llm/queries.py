@@ -1,12 +1,13 @@
 """The queries of this package and their SQL twins, by name."""
 
-from quadrille.llm import bpe, exact_dedup, sharding, token_counts
+from quadrille.llm import bpe, decontamination, exact_dedup, sharding, token_counts
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_token_counts": token_counts.op2_token_counts,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op8_sharding": sharding.op8_sharding,
+    "op9_decontamination": decontamination.op9_decontamination,
 }
 
 SQL = {
