@@ -298,11 +298,12 @@ class WordBpe:
         for x in texts:
             special = self.at_special is not None and "<" in x and self.at_special.search(x)
             split.append([y if y in self.special else _chunks(y) for y in self.at_special.split(x) if y] if special else [_chunks(x)])
-        new = set().union(*(y for parts in split for y in parts if not isinstance(y, str))) - self.known.keys()
+        seen = set().union(*(y for parts in split for y in parts if not isinstance(y, str)))
+        new = [y for y in seen if y not in self.known]
         if len(self.known) + len(new) > CACHE_ENTRIES:
             self.known.clear()
-            new = set().union(*(y for parts in split for y in parts if not isinstance(y, str)))
-        self.learn(list(new))
+            new = list(seen)
+        self.learn(new)
         known = self.known
         return [" ".join(filter(None, [str(self.special[y]) if isinstance(y, str) else " ".join(filter(None, map(known.__getitem__, y))) for y in parts])) for parts in split]
 

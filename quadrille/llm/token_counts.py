@@ -116,11 +116,12 @@ class Counter:
                     alone = [first] if first else []
                 split.append((k, alone, spaced))
         odd = [p for _, alone, _ in split for p in alone]
-        new = set().union(*(y for _, _, y in split)) - self.known.keys()
+        seen = set().union(*(y for _, _, y in split))
+        new = [y for y in seen if y not in self.known]
         if len(self.known) + len(new) > CACHE_ENTRIES:
             self.known.clear()
-            new = set().union(*(y for _, _, y in split))
-        self.learn(list(new))
+            new = list(seen)
+        self.learn(new)
         get, alone_counts = self.known.__getitem__, iter(self.encoded(odd))
         for k, alone, spaced in split:
             totals[k] += sum(map(get, spaced)) + sum(next(alone_counts) for _ in alone)
