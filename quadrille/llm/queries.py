@@ -1,10 +1,11 @@
 """The queries of this package and their SQL twins, by name."""
 
-from quadrille.llm import bpe, decontamination, exact_dedup, sharding, token_counts, toxicity
+from quadrille.llm import bpe, decontamination, exact_dedup, html_text, sharding, token_counts, toxicity
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_html_text": html_text.op3_html_text,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
     "op8_sharding": sharding.op8_sharding,
