@@ -1,6 +1,6 @@
 """The queries of this package and their SQL twins, by name."""
 
-from quadrille.llm import bpe, decontamination, exact_dedup, html_text, sharding, token_counts, toxicity
+from quadrille.llm import bpe, decontamination, exact_dedup, html_text, near_dedup, sharding, token_counts, toxicity
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op8_sharding": sharding.op8_sharding,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 SQL = {
