@@ -2,57 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrille.store import release, shared_dir, written
+
+__all__ = ["MAX_BROADCAST_IDS", "ids_and_text", "lower_ascii", "release", "shared_dir", "table", "without_ids", "worker_state", "written"]
+
 #: A set of ids is broadcast only up to this many rows (8 bytes each, so 8 MB); beyond it the join shuffles.
 MAX_BROADCAST_IDS = 1_000_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where that setting is absent (tests on one machine) a local folder is made and set.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = jdir.get() if jdir.isDefined() else None
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="quadrille-")
-        spark.sparkContext.setCheckpointDir(path)
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def _root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/quadrille-{spark.sparkContext.applicationId}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` as a Parquet table in the shared folder, read again.
-
-    This cuts the lineage, so a lost executor costs no more than the tasks it ran, and
-    a table used twice is computed once. :func:`release` deletes these tables.
-    """
-    spark = df.sparkSession
-    path = f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Deletes every table that :func:`written` made in this application; call it once results are stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,3 +42,15 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") ->
     if gone.count() <= MAX_BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+
+
+_T = TypeVar("_T")
+_state: dict[Hashable, object] = {}
+
+
+def worker_state(key: Hashable, make: Callable[[], _T]) -> _T:
+    """What an operator keeps between the batches and tasks of a Python worker (caches, tables). A worker keeps the state of one operator: the next one's takes its place, so memory doesn't add up over a pipeline."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = make()
+    return _state[key]

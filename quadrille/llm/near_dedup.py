@@ -35,8 +35,8 @@ from quadrille.llm.components import components
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE, PERCENT = 5, 80
 HASHES, ROWS, BITS, SIGMAS = 128, 4, 4, 6.5
-CHUNK, CHUNK_SHINGLES = 128, 1_000_000
-CACHE_ENTRIES = 300_000
+CHUNK, CHUNK_SHINGLES = 256, 1_000_000
+CACHE_ENTRIES = 200_000
 
 _WORDS = re.compile(WORD)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -113,15 +113,6 @@ def cut_off(percent: int) -> float:
     return t - SIGMAS * math.sqrt(p * (1 - p) / HASHES) / (1 - chance)
 
 
-_own: list[Shingler] = []
-
-
-def _shingler() -> Shingler:
-    if not _own:
-        _own.append(Shingler())
-    return _own[0]
-
-
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, full_sets: bool = False) -> DataFrame:
     """Per row: doc_id, n_shingles, node (null without words), signature and bands, or the set itself as ``shingles``."""
     rows = common.ids_and_text(docs, id_col, text_col)
@@ -129,7 +120,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()), *(T.StructField(*x) for x in more)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _shingler()
+        own = common.worker_state("shingles", Shingler)
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part, texts in bpe.slices(batch, "text"):
