@@ -36,8 +36,8 @@ from quadrille.llm import common, lexicon
 SPACE = "\t-\r \x85\xa0  -     　"
 #: The contractions that split off. Fixed values of the tokenizer file's own pattern.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-#: A worker's cache starts anew beyond so many distinct entries (about 100 MB).
-CACHE_ENTRIES = 300_000
+#: A worker's cache starts anew beyond so many distinct entries (about 80 MB).
+CACHE_ENTRIES = 250_000
 #: Texts of a batch are taken together up to so many characters.
 SLICE_CHARS = 2_000_000
 
@@ -321,14 +321,9 @@ def _chunks(text: str) -> list[str]:
     return text.split() if text.isascii() and not _ODD.search(text) else _CHUNKS.findall(text)
 
 
-_loaded: dict[str, WordBpe] = {}
-
-
 def _worker(name: str) -> WordBpe:
     path = SparkFiles.get(name)
-    if path not in _loaded:
-        _loaded[path] = WordBpe(path)
-    return _loaded[path]
+    return common.worker_state(("bpe", path), lambda: WordBpe(path))
 
 
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -370,7 +365,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                     texts_of_ids = line.split()
                     decoded = bpe.decode_text(texts_of_ids) if decodes else ""
                     out["n_tokens"].append(len(texts_of_ids))
-                    out["ids"].append(list(map(int, texts_of_ids)) if "ids" in outputs else None)
+                    out["ids"].append(np.fromiter(map(int, texts_of_ids), np.int32, len(texts_of_ids)) if "ids" in outputs else None)
                     out["ids_sha256"].append(hashlib.sha256(line.encode()).hexdigest())
                     out["decoded"].append(decoded)
                     out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())

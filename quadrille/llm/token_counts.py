@@ -128,9 +128,6 @@ class Counter:
         return totals
 
 
-_counters: dict[int, Counter] = {}
-
-
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, frequent_words: Iterable[str] = (), max_frequent: int = MAX_FREQUENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes (UTF-8), n_tokens, over_limit (more tokens than ``limit``).
 
@@ -150,10 +147,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _counters:
-            _counters.clear()
-            _counters[id(shared.value)] = Counter(*shared.value)
-        counter = _counters[id(shared.value)]
+        counter = common.worker_state(("tokens", hash(shared.value[0])), lambda: Counter(*shared.value))
         for batch in batches:
             for part, texts in bpe.slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x.encode()) for x in texts], pa.int64()), pa.array(counter.count(texts), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])

@@ -5,7 +5,7 @@ inflected forms share evidence), pairs of neighbouring words and pairs with one
 hashed into ``2 ** BITS`` places. FTRL-proximal keeps a learning rate per coordinate, and its L1 term leaves most weights at
 exactly 0, so the model is broadcast as its few non-zero weights.
 
-The model is fitted on the driver, on a bounded sample of the labelled rows (``max_rows``; those of smallest hashed
+The model is fitted in one task, on a bounded sample of the labelled rows (``max_rows``; those of smallest hashed
 id, a quarter of them at most with label 1, if there are more). Scoring covers every row and the whole text.
 """
 
@@ -28,7 +28,7 @@ from quadrille.llm import bpe, common
 BITS, STEMS = 20, (4, 5, 6)
 MAX_ROWS, EPOCHS = 16_000, 3
 #: A worker's cache of words starts anew beyond so many.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -89,7 +89,7 @@ class Model:
 
 def ftrl(rows: Iterable[tuple[np.ndarray, int]], alpha: float = 0.3, beta: float = 1.0, l1: float = 4.0, l2: float = 0.1, epochs: int = EPOCHS, seed: int = 0) -> Model:
     """Fits a model on (features, label) rows, in an order that depends on ``seed`` alone. Without rows of both labels the weights are 0 and the bias is the smoothed share of label 1."""
-    rows = [(np.unique(x), y) for x, y in rows]
+    rows = [(np.unique(x), y) for x, y in rows]  # each feature counts once
     ones = sum(y for _, y in rows)
     bias = math.log((ones + 1) / (len(rows) - ones + 1))
     if ones in (0, len(rows)):
@@ -123,15 +123,29 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5, F.lit(0))
 
 
+_MODEL = T.StructType([T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("weights", T.ArrayType(T.FloatType())), T.StructField("bias", T.DoubleType())])
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    features, rows = Features(), []
+    for batch in batches:
+        ids, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for at in range(len(ids)):
+            text = batch.column(2)[at].as_py()
+            rows.append((ids[at], labels[at], xxhash.xxh3_64_intdigest(text), np.unique(features.of(text)).astype(np.int32)))
+    rows.sort(key=lambda r: r[:3])
+    model = ftrl((x, y) for _, y, _, x in rows)
+    yield pa.RecordBatch.from_arrays([pa.array([model.places], pa.list_(pa.int32())), pa.array([model.weights], pa.list_(pa.float32())), pa.array([model.bias], pa.float64())], names=_MODEL.names)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
-    """A model of ``labels`` whose fold isn't 0. At most ``max_rows`` ids are drawn, and broadcast to find their texts."""
+    """A model of ``labels`` whose fold isn't 0. At most ``max_rows`` ids are drawn, and broadcast to find their texts; one task fits on those, and the driver gets the non-zero weights."""
     usable = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("label")).where(F.col("label").isin(0, 1) & (fold(F.col("doc_id")) != 0))
     drawn = [usable.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k) for y, k in ((1, max_rows // 4), (0, max_rows - max_rows // 4))]
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
-    found = common.ids_and_text(docs, id_col, text_col).join(ids, "doc_id").toArrow()
-    features = Features()
-    rows = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "text")), strict=True))
-    return ftrl((features.of(x), y) for _, y, x in rows)
+    found = common.ids_and_text(docs, id_col, text_col).join(ids, "doc_id").select("doc_id", "label", "text")
+    row = found.repartition(1).mapInArrow(_train, _MODEL).first()
+    return Model(np.array(row["places"], np.int32), np.array(row["weights"], np.float32), row["bias"])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,7 +158,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, model = _features(), shared.value
+        features, model = common.worker_state("toxicity", Features), shared.value
         w = model.dense()
         for batch in batches:
             for part, texts in bpe.slices(batch, "text"):
@@ -159,15 +173,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-_own: list[Features] = []
-
-
-def _features() -> Features:
-    if not _own:
-        _own.append(Features())
-    return _own[0]
-
-
 def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model doesn't predict toxic, all columns as they are. An id goes if one of its rows does; rows without id stay."""
     found = common.written(score(docs, model, id_col, text_col).where("predicted = 1").select("doc_id"), "toxic")
