@@ -26,7 +26,7 @@ def organization(label: Column) -> Column:
     characters than ASCII letters, digits and '_' vanish, then lower case without accents, stop words and empty words.
     """
     tokens = F.filter(F.split(label, " "), lambda t: t != "")
-    first, last = F.get(tokens, 0), F.element_at(tokens, F.lit(-1))
+    first, last = F.get(tokens, 0), F.get(tokens, F.size(tokens) - 1)
     single = (F.size(tokens) == 1) & is_abbreviation(first)
     halves = F.split(first, "-")
     prefixed = ~single & (label != F.upper(label)) & (F.size(halves) == 2) & is_abbreviation(F.get(halves, 0)) & ~is_abbreviation(F.get(halves, 1))

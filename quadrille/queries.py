@@ -157,10 +157,11 @@ def intersect_pairs(spark, sf_dir):
     return resolve.same_value(two).intersect(resolve.same_value(three)).select(number("x"), number("y"))
 
 
-@query("SELECT c_custkey AS c FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey AS c FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def not_exists_orders(spark, sf_dir):
     q = quads(spark, sf_dir, "customer", "orders")
-    return P.not_exists(P.scan(q, "?c", TYPE, v("Customer")), P.scan(q, "?o", v("by"), "?c").select("c")).select(number("c"))
+    urgent = P.match(q, ("?o", v("by"), "?c"), ("?o", v("urgency"), terms.literal_key("1-URGENT"))).select("c")
+    return P.not_exists(P.scan(q, "?c", TYPE, v("Customer")), urgent).select(number("c"))
 
 
 @query("""
@@ -410,11 +411,11 @@ def sameas_exact(spark, sf_dir):
     return resolve.guarded(resolve.same_value(_name_size(spark, sf_dir))).select(number("x"), number("y"))
 
 
-@query(_PAIRS + "a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_retailprice = b.p_retailprice")
+@query(_PAIRS + "a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_type = b.p_type")
 def sameas_intersection(spark, sf_dir):
-    parts = read(spark, sf_dir, "part").withColumn("cents", F.round(F.col("p_retailprice") * 100).cast("long")).withColumn("both", F.concat_ws("|", "p_name", "p_size"))
-    q = lift(parts, iri("part", parts["p_partkey"]), {"both": Field(v("both")), "cents": Field(v("cents"))}, v("Part"))
-    return resolve.rule(*(resolve.same_value(resolve.data_property(q, v("Part"), v(p))) for p in ("both", "cents"))).select(number("x"), number("y"))
+    parts = read(spark, sf_dir, "part").withColumn("sized", F.concat_ws("|", "p_name", "p_size")).withColumn("kind", F.concat_ws("|", "p_name", "p_type", F.pmod("p_size", F.lit(10))))
+    q = lift(parts, iri("part", parts["p_partkey"]), {"sized": Field(v("sized")), "kind": Field(v("kind"))}, v("Part"))
+    return resolve.rule(*(resolve.same_value(resolve.data_property(q, v("Part"), v(p))) for p in ("sized", "kind"))).select(number("x"), number("y"))
 
 
 @query("""
@@ -460,10 +461,10 @@ SELECT x, y FROM m UNION SELECT y, x FROM m"""
 _SIMILAR = "levenshtein(lower(a), lower(b)) = 0 OR (levenshtein(lower(a), lower(b)) < (length(a) + length(b)) // 2 AND CAST((1 - CAST(levenshtein(lower(a), lower(b)) AS FLOAT) / CAST((length(a) + length(b)) // 2 AS FLOAT)) * 100 AS FLOAT) >= {degree})"
 
 
-@query(_WINDOW.format(key="CAST(c_custkey AS VARCHAR)", value="lower(c_name)", table="customer", test=_SIMILAR.format(degree=95)))
+@query(_WINDOW.format(key="CAST(c_custkey AS VARCHAR)", value="lower(c_name)", table="customer", test=_SIMILAR.format(degree=90)))
 def fuzzy_window(spark, sf_dir):
     values = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("x"), F.lower("c_name").alias("value"))
-    return resolve.fuzzy(values, 95)
+    return resolve.fuzzy(values, 90)
 
 
 @query(_WINDOW.format(key="CAST(c_custkey AS VARCHAR)", value="c_mktsegment", table="customer", test="substr(a, 1, 1) = substr(b, 1, 1)"))
@@ -510,14 +511,12 @@ def author_normal_forms(spark, sf_dir):
     return keyed.join(names.forms_of(people), "node").select("x", "level", "value")
 
 
-@query("""
-WITH n AS (SELECT DISTINCT string_split(p_name, ' ')[1] AS given, string_split(p_name, ' ')[2] AS family, md5(string_split(p_name, ' ')[2] || ', ' || string_split(p_name, ' ')[1]) AS x FROM part),
-f AS (SELECT x, 'B1' AS level, family || ', ' || given AS value FROM n UNION ALL SELECT x, 'RB1', given || ', ' || family FROM n),
-m AS (SELECT a.x AS x, b.x AS y FROM f a JOIN f b ON a.value = b.value AND a.level IN ('B1', 'RB1') AND b.level = 'B1' AND a.x <> b.x)
-SELECT x, y FROM m UNION SELECT y, x FROM m""")
+@query("SELECT a.p_partkey AS x, b.p_partkey AS y FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_partkey <> b.p_partkey")
 def name_ladder(spark, sf_dir):
-    forms = names.forms_of(_authors(spark, sf_dir))
-    return resolve.name_ladder(forms.select(F.col("node").alias("x"), "node").distinct(), forms)
+    """Parts as authors: 'given family'. Nodes have the levels A1, B1 and RB1, so B1 is the step where they meet."""
+    people = _authors(spark, sf_dir)
+    holders = people.select("x", F.md5(F.concat("family", F.lit(", "), "given")).alias("node"))
+    return resolve.name_ladder(holders, names.forms_of(people))
 
 
 @query("SELECT count(*) AS pairs, count(DISTINCT x) AS resources, count(*) >= 128 AND count(*) >= count(DISTINCT x) * count(DISTINCT x) / 2 AS suspicious FROM (" + _PAIRS + "a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_brand = b.p_brand)")

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quadrille.terms import SCHEMA
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,6 +46,9 @@ def release(spark: SparkSession) -> None:
     _delete(spark, _root(spark))
 
 
+_STORED = T.StructType([*SCHEMA.fields, T.StructField("source", T.StringType()), T.StructField("version", T.StringType())])
+
+
 class QuadStore:
     """Quads under ``path``, partitioned by source and version; a version is a sortable string such as a timestamp."""
 
@@ -54,7 +60,7 @@ class QuadStore:
         return not at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
     def read(self, source: str | None = None, version: str | None = None) -> DataFrame:
-        rows = self.spark.read.option("basePath", self.path).parquet(self.path)
+        rows = self.spark.read.schema(_STORED).option("basePath", self.path).parquet(self.path)
         rows = rows if source is None else rows.where(F.col("source") == source)
         return rows if version is None else rows.where(F.col("version") == version)
 
