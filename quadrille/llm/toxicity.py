@@ -145,6 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
     found = common.ids_and_text(docs, id_col, text_col).join(ids, "doc_id").select("doc_id", "label", "text")
     row = found.repartition(1).mapInArrow(_train, _MODEL).first()
+    if row is None:  # Spark leaves the task out if it knows that there are no rows
+        return ftrl([])
     return Model(np.array(row["places"], np.int32), np.array(row["weights"], np.float32), row["bias"])
 
 
