@@ -4,16 +4,24 @@ The lines and paragraphs of a document are normalised (A-Z lower-cased, everythi
 word bigrams; a single word is its own bigram. A unit matches a template of Dice ``2 * shared / (n + m)`` at or above the
 threshold ``t``. As ``shared`` is at most the smaller size, only templates with ``n * t / (2 - t) <= m <= n * (2 - t) / t`` are
 compared, and only bigrams that some template has are kept of a unit. All of it happens within the row: nothing is shuffled.
+
+A match shares at least ``m * t / (2 - t)`` bigrams of its template. So each template has a few anchor words without which
+too few of its bigrams are left, and a document with none of them is done at once; others aren't affected.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import common
+from quadrille.llm.html_text import STOP_WORDS
 
 THRESHOLD = 0.8
+#: Bounds give way by this much, as they are products of rounded numbers; the coefficient itself decides.
+SLACK = 1e-9
 
 #: Notices and headers of common licences. Fixed values, public texts.
 TEMPLATES = {
@@ -40,6 +48,18 @@ def bigrams(text: str) -> list[str]:
     return list(dict.fromkeys([" ".join(x) for x in zip(lower, lower[1:], strict=False)] or lower))
 
 
+def anchors(grams: list[str], threshold: float) -> list[str]:
+    """Words of a template, stop words last and else the longest first, without which fewer of its bigrams are left than a match shares."""
+    need, left, found = len(grams) * threshold / (2 - threshold) - SLACK, grams, []
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (w in STOP_WORDS, -len(w), w)):
+        if len(left) < need:
+            break
+        rest = [g for g in left if word not in g.split()]
+        if len(rest) < len(left):
+            left, found = rest, [*found, word]
+    return found
+
+
 def _units(text: Column) -> Column:
     """The distinct lines and paragraphs of a text as arrays of distinct bigrams; units without words are left out."""
     plain = F.regexp_replace(common.lower_ascii(text), "[^a-z0-9\n]+", " ")
@@ -58,17 +78,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     known = sorted({g for grams in sets.values() for g in grams})
     literal = F.array(*(F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, grams)).alias("grams"), F.lit(len(grams)).alias("m")) for name, grams in sets.items()))
     t = threshold
-    least, most = min(map(len, sets.values())) * t / (2 - t), max(map(len, sets.values())) * (2 - t) / t
+    least, most = min(map(len, sets.values())) * t / (2 - t) - SLACK, max(map(len, sets.values())) * (2 - t) / t + SLACK
+    words = sorted({w for grams in sets.values() for w in anchors(grams, t)})
     sized = F.filter(_units(F.col("text")), lambda g: (F.size(g) >= least) & (F.size(g) <= most))
-    hits = F.filter(F.transform(sized, lambda g: F.struct(F.size(g).alias("n"), F.filter(g, lambda x: x.isin(known)).alias("hits"))), lambda u: F.size(u["hits"]) >= t / 2 * u["n"])
+    hits = F.filter(F.transform(sized, lambda g: F.struct(F.size(g).alias("n"), F.filter(g, lambda x: x.isin(known)).alias("hits"))), lambda u: F.size(u["hits"]) >= t / 2 * u["n"] - SLACK)
 
     def best(u: Column) -> Column:
-        near = F.filter(F.col("templates"), lambda x: (x["m"] >= u["n"] * F.lit(t / (2 - t))) & (x["m"] <= u["n"] * F.lit((2 - t) / t)))
+        near = F.filter(F.col("templates"), lambda x: (x["m"] >= u["n"] * F.lit(t / (2 - t)) - SLACK) & (x["m"] <= u["n"] * F.lit((2 - t) / t) + SLACK))
         scored = F.transform(near, lambda x: F.struct((F.lit(2.0) * F.size(F.array_intersect(u["hits"], x["grams"])) / (u["n"] + x["m"])).alias("dice"), x["license"].alias("license")))
         return F.reduce(scored, F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("license")), lambda a, b: F.when(b["dice"] > a["dice"], b).otherwise(a))
 
-    rows = common.ids_and_text(docs, id_col, text_col).select("doc_id", hits.alias("units"), literal.alias("templates"))
-    found = rows.select("doc_id", F.filter(F.transform("units", best), lambda x: x["dice"] >= t).alias("matches"))
+    rows = common.ids_and_text(docs, id_col, text_col).withColumn("lower", common.lower_ascii(F.col("text")))
+    tests = [F.col("lower").contains(w) for w in words if len(w) > 3]
+    if short := [w for w in words if len(w) <= 3]:
+        tests.append(F.col("lower").rlike(rf"(?<![a-z0-9])(?:{'|'.join(short)})(?![a-z0-9])"))
+    anchored = reduce(lambda a, b: a | b, tests)
+    matches = F.filter(F.transform(hits, best), lambda x: x["dice"] >= t)
+    found = rows.withColumn("templates", literal).select("doc_id", F.when(anchored, matches).otherwise(F.array().cast("array<struct<dice:double,license:string>>")).alias("matches"))
     top = F.reduce("matches", F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("license")), lambda a, b: F.when((b["dice"] > a["dice"]) | (b["dice"] == a["dice"]) & (b["license"] < a["license"]), b).otherwise(a))
     some = F.size("matches") > 0
     return found.withColumn("top", top).select("doc_id", "matches", F.when(some, F.col("top.license")).alias("license"), F.when(some, F.col("top.dice")).alias("dice"), F.size("matches").cast("long").alias("n_matches"))
@@ -95,7 +121,7 @@ grams AS (
     FROM units),
 scored AS (
     SELECT doc_id, unit, license, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-    FROM grams JOIN templates ON len(grams) BETWEEN len(g) * {THRESHOLD / (2 - THRESHOLD)!r} AND len(g) * {(2 - THRESHOLD) / THRESHOLD!r}),
+    FROM grams JOIN templates ON len(grams) BETWEEN len(g) * {THRESHOLD / (2 - THRESHOLD)!r} - {SLACK} AND len(g) * {(2 - THRESHOLD) / THRESHOLD!r} + {SLACK}),
 best AS (
     SELECT doc_id, license, dice FROM (
         SELECT *, row_number() OVER (PARTITION BY unit ORDER BY dice DESC, license) AS nth FROM scored WHERE dice >= {THRESHOLD}) WHERE nth = 1),
