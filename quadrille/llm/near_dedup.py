@@ -193,9 +193,13 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     members = common.written(keyed.join(buckets, "key").select("centre", "node").distinct(), "members")
     met = members.join(nodes.select("node", "n_shingles"), "node")
     sizes = met.groupBy("centre").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
+    # groups of several chunks are few: no more than members / CHUNK; the others' size isn't needed
+    large = common.written(sizes.where("chunks > 1"), "large-groups")
+    large = F.broadcast(large) if large.count() <= common.MAX_BROADCAST_IDS else large
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     dealt = (
-        members.join(sizes, "centre")
+        members.join(large, "centre", "left")
+        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
         .withColumn("own", own)
         .select("centre", "node", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
         .select("centre", "node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).cast("int").alias("side"))
