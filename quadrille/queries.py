@@ -654,3 +654,53 @@ def migrate_by_diff(spark, sf_dir):
 
     changes = [Change(v("Customer"), v("Client"), True), Change(LABEL, v("title"), True), Change(v("segment"), None, False, "Delete", "Delete")]
     return migrate(quads(spark, sf_dir, "customer"), changes, classes={v("Customer")}).select("s", "p", "o")
+
+
+# --- selection and derived merges ---------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey AS c, n_regionkey AS top FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def positions_at_top(spark, sf_dir):
+    """Customers hold positions in nations, which are parts of regions."""
+    from quadrille.operators import select
+
+    customers, nations = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
+    held = customers.select(iri("position", customers["c_custkey"]).alias("pos"), F.concat(F.lit(NS + "nation/"), F.col("c_nationkey").cast("string")).alias("o"))
+    parts = nations.select(iri("nation", nations["n_nationkey"]).alias("o"), F.concat(F.lit(NS + "region/"), F.col("n_regionkey").cast("string")).alias("up"))
+    q = P.union(P.construct(held, ("?pos", TYPE, VIVO + "Position"), ("?pos", VIVO + "relates", "?o")), P.construct(parts, ("?o", select.PART_OF, "?up")))
+    return P.scan(select.positions_at_top(q, v("immediate")), "?c", VIVO + "relates", "?top").select(number("c"), number("top"))
+
+
+@query(f"""
+WITH c AS (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'), n AS (SELECT DISTINCT nation.* FROM nation JOIN c ON c_nationkey = n_nationkey)
+SELECT 'customer' AS kind, c_custkey AS x, 4 AS statements FROM c
+UNION ALL SELECT 'nation', n_nationkey, 3 FROM n
+UNION ALL SELECT DISTINCT 'region', n_regionkey, 2 FROM n""")
+def relevant_subgraph(spark, sf_dir):
+    from quadrille.operators import select
+
+    q = quads(spark, sf_dir, "customer", "nation", "region")
+    about = select.relevant(q, "building", [v("segment")], v("Customer"))
+    return about.groupBy(F.regexp_extract("s", "/([a-z]+)/[0-9]+$", 1).alias("kind"), number("s").alias("x")).agg(F.count(F.lit(1)).cast("int").alias("statements"))
+
+
+@query("SELECT p_partkey AS x, min(p_partkey) OVER (PARTITION BY p_name, p_size, p_brand) AS y FROM part QUALIFY x <> y")
+def keep_smallest_peer(spark, sf_dir):
+    from quadrille.operators import atoms
+
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("x"), F.concat_ws("|", "p_name", "p_size", "p_brand").alias("value"))
+    return atoms.keep_smallest(resolve.same_value(parts)).select(F.col("old").alias("x"), F.col("new").alias("y"))
+
+
+@query("""
+WITH r AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s, l_orderkey AS o, l_linenumber AS n FROM lineitem)
+SELECT DISTINCT a.o || '-' || a.n || '-' || a.p || '-' || a.s AS x, b.o || '-' || b.n || '-' || b.p || '-' || b.s AS y FROM r a JOIN r b ON a.p = b.p AND a.s = b.s AND (a.o, a.n) <> (b.o, b.n)""")
+def sameas_roles(spark, sf_dir):
+    """Lines as roles that suppliers have in parts: one type, one bearer, one process."""
+    from quadrille.operators import atoms
+
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    line = rows.select(F.concat(F.lit(NS + "line/"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("x"), F.concat(F.lit(NS + "supplier/"), F.col("l_suppkey").cast("string")).alias("a"), F.concat(F.lit(NS + "part/"), F.col("l_partkey").cast("string")).alias("b"))
+    q = P.construct(line, ("?x", atoms.BEARER, "?a"), ("?x", atoms.REALIZED_IN, "?b"), ("?x", atoms.MOST_SPECIFIC, v("Line")))
+    none = spark.createDataFrame([], "node string, root string")
+    return atoms.roles(q, none).select(F.regexp_replace("x", "^.*/", "").alias("x"), F.regexp_replace("y", "^.*/", "").alias("y"))
