@@ -36,7 +36,7 @@ from quadrille.llm import common, lexicon
 SPACE = "\t-\r \x85\xa0  -     　"
 #: The contractions that split off. Fixed values of the tokenizer file's own pattern.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-#: A worker's cache starts anew beyond so many distinct entries (about 80 MB).
+#: A worker's cache is cut down beyond so many distinct entries (about 80 MB).
 CACHE_ENTRIES = 250_000
 #: Texts of a batch are taken together up to so many characters.
 SLICE_CHARS = 2_000_000
@@ -261,7 +261,8 @@ class WordBpe:
         self.merge = Merger(t)
         at, data = t["piece_at"].tolist(), t["piece_bytes"].tobytes()
         self.pieces = [data[a:b].decode() for a, b in zip(at, at[1:], strict=False)]
-        self.piece_of = {str(i): p for i, p in enumerate(self.pieces)}
+        self.names = list(map(str, range(len(self.pieces))))
+        self.piece_of = dict(zip(self.names, self.pieces, strict=True))
         self.special: dict[str, int] = json.loads(t["special"].tobytes())
         later = json.loads(t["later"].tobytes())
         self.later = str.maketrans(later["lower"] | {"Σ": "σ"})
@@ -278,19 +279,27 @@ class WordBpe:
         return [ids[a:b].tolist() if r >= 0 else next(merged) for r, a, b in zip(rank.tolist(), begin, end, strict=True)]
 
     def learn(self, chunks: list[str]) -> None:
-        """Puts chunks into the cache."""
-        parts, find = [], self.find_words
+        """Puts chunks into the cache. A word that was a chunk of its own before is known already."""
+        known, find, parts, wanted = self.known, self.find_words, [], set()
         for c in chunks:
-            plain = c if c.isascii() else unicodedata.normalize("NFC", c).translate(self.later)
-            plain = plain.lower()
-            if plain.isascii():
-                parts.append([plain] if plain.isalpha() else find(plain))
+            if c.isascii():
+                plain = c.lower()
+                words = plain if plain.isalpha() else find(plain)
             else:
-                parts.append(find(plain) if self.neither.isdisjoint(plain) else self.find_slowly(plain))
-        words = list({w for ws in parts for w in ws})
-        found = {w: " ".join(map(str, ids)) for w, ids in zip(words, self.word_ids([w.encode() for w in words]), strict=True)}
-        for c, ws in zip(chunks, parts, strict=True):
-            self.known[c] = found[ws[0]] if len(ws) == 1 else " ".join(map(found.__getitem__, ws))
+                plain = unicodedata.normalize("NFC", c).translate(self.later).lower()
+                words = find(plain) if self.neither.isdisjoint(plain) else self.find_slowly(plain)
+                words = words[0] if len(words) == 1 else words
+            parts.append(words)
+            if type(words) is str:
+                wanted.add(words)
+            else:
+                wanted.update(words)
+        found = {w: known[w] for w in wanted if w in known and w.isalpha()}
+        new = [w for w in wanted if w not in found]
+        names = self.names
+        found.update((w, " ".join([names[i] for i in ids])) for w, ids in zip(new, self.word_ids([w.encode() for w in new]), strict=True))
+        get = found.__getitem__
+        known.update((c, get(ws) if type(ws) is str else " ".join(map(get, ws))) for c, ws in zip(chunks, parts, strict=True))
 
     def encode_slice(self, texts: list[str]) -> list[str]:
         """The ids of each text as decimals joined by one space. The words of all texts are looked up together."""
@@ -300,9 +309,8 @@ class WordBpe:
             split.append([y if y in self.special else _chunks(y) for y in self.at_special.split(x) if y] if special else [_chunks(x)])
         seen = set().union(*(y for parts in split for y in parts if not isinstance(y, str)))
         new = [y for y in seen if y not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-            new = list(seen)
+        if len(self.known) + len(new) > CACHE_ENTRIES:  # what this slice has stays, most of it is frequent
+            self.known = {y: self.known[y] for y in seen if y in self.known}
         self.learn(new)
         known = self.known
         return [" ".join(filter(None, [str(self.special[y]) if isinstance(y, str) else " ".join(filter(None, map(known.__getitem__, y))) for y in parts])) for parts in split]

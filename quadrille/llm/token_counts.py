@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from quadrille.llm import bpe, common
 
 MAX_FREQUENT = 200_000
-#: A worker's cache starts anew beyond so many pieces.
+#: A worker's cache is cut down beyond so many pieces.
 CACHE_ENTRIES = 600_000
 
 _S = bpe.SPACE
@@ -118,9 +118,8 @@ class Counter:
         odd = [p for _, alone, _ in split for p in alone]
         seen = set().union(*(y for _, _, y in split))
         new = [y for y in seen if y not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-            new = list(seen)
+        if len(self.known) + len(new) > CACHE_ENTRIES:  # what this slice has stays, most of it is frequent
+            self.known = {y: self.known[y] for y in seen if y in self.known}
         self.learn(new)
         get, alone_counts = self.known.__getitem__, iter(self.encoded(odd))
         for k, alone, spaced in split:
