@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from quadrille import terms
 from quadrille.operators.resolve import guarded, same_value
 from quadrille.plans.patterns import bind, exists, join, match, not_exists, scan, union
-from quadrille.terms import LABEL, OBO, TYPE, VCARD, VIVO
+from quadrille.terms import LABEL, MOST_SPECIFIC, OBO, TYPE, VCARD, VIVO
 
 CONTACT, HAS_NAME = OBO + "ARG_2000028", VCARD + "hasName"
 BEARER, REALIZED_IN = OBO + "RO_0000052", OBO + "BFO_0000054"
-MOST_SPECIFIC = "http://vitro.mannlib.cornell.edu/ns/vitro/0.7#mostSpecificType"
 #: Parts of a card and where their values are. Fixed values.
 CARD_PARTS = {VCARD + "hasEmail": VCARD + "email", VCARD + "hasTelephone": VCARD + "telephone", VCARD + "hasURL": VCARD + "url"}
 

@@ -53,7 +53,7 @@ def rewrite_iris(quads: DataFrame, namespace: str, prefix: str = "") -> DataFram
     return with_objects(rows, F.when(F.col("p") == terms.TYPE, F.col("o")).otherwise(home_iri(F.col("o"), namespace, prefix)))
 
 
-def reassign_types(quads: DataFrame, classes: Mapping[str, str], predicates: tuple[str, ...] = (terms.TYPE, terms.VIVO.replace("core#", "") + "vitro#mostSpecificType")) -> DataFrame:
+def reassign_types(quads: DataFrame, classes: Mapping[str, str], predicates: tuple[str, ...] = (terms.TYPE, terms.MOST_SPECIFIC)) -> DataFrame:
     """Other classes for instances, by old class."""
     new = F.col("o")
     for old, cls in classes.items():
