@@ -23,6 +23,8 @@ from quadrille.llm import bpe, common
 
 # Element names of HTML by what they mean here.
 RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg math canvas object".split())
+#: Of these, the ones that a page without their end tag doesn't end in: a browser goes on with what follows.
+OPEN = frozenset("noscript template svg math canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul caption".split()
@@ -66,6 +68,7 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # name, and up to here: article, not text, link
     parts: list[tuple[str, bool]] = []
+    unclosed: set[str] = set()  # raw elements without an end tag in the rest of the page
 
     def flush() -> None:
         if parts:
@@ -99,7 +102,12 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if name in RAW:
+            if name in unclosed or name in ("svg", "math") and m[3].endswith("/"):
+                continue
             close = re.compile(rf"</{re.escape(name)}\s*[>/]?", re.I).search(page, at)
+            if close is None and name in OPEN:
+                unclosed.add(name)
+                continue
             gap = page.find(">", close.end() - 1) if close else -1
             at = end if close is None else (close.end() if page[close.end() - 1] == ">" else (gap + 1 or end))
             continue

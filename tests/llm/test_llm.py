@@ -198,6 +198,19 @@ def test_pages(page, text):
     assert html_text.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>One</p><svg class='icon'/><p>Two</p></article>", "One Two"),
+        ("<article><p>One</p><svg/><p>Two</p><math /><p>Three</p><svg><text>x</text></svg><p>Four</p></article>", "One Two Three Four"),
+        ("<article><p>One</p><svg width=1><p>Two</p><svg><template><p>Three</p></article>", "One Two Three"),
+        ("<article><p>One</p><script>x <p>y</p></article>", "One"),
+    ],
+)
+def test_pages_with_raw_elements_left_open(page, text):
+    assert html_text.extract(page) == text
+
+
 def test_pages_of_the_tables(spark):
     import html
 
