@@ -1,7 +1,7 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags. The first pass labels each block on its own, from the containers it stands
-in (navigation, header, footer, aside, form and the like, or class names that say so: not text), from the
+in (navigation, header, footer, aside, form and the like, or class names that say so: not text, but where they wrap the article or most of the text), from the
 page's own markup of its article (``article``, ``main``: text), and else from its length, link density and
 stop-word density. What this leaves open, the second pass decides: short blocks take the label of their nearest decided neighbours,
 the nearer one's where they differ (not text on a tie); a heading takes that of what follows it. Where no block is
@@ -30,6 +30,8 @@ BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul caption".split()
 )
 NOT_TEXT = frozenset("nav footer aside form menu button select dialog head search label fieldset".split())
+#: Of these, the ones that pages use as a wrapper of everything, too.
+WRAPPERS = frozenset("form fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Closed without an end tag when the element named here begins.
 IMPLIED = {"p": BLOCK - {"br"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
@@ -37,6 +39,8 @@ IMPLIED = {"p": BLOCK - {"br"}, "li": frozenset(["li"]), "dt": frozenset(["dt",
 MARKS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promotion related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe tagcloud toolbar widget widgets".split()
 )
+#: Of these, the ones whose text is prose of others, however long it is.
+OTHERS = frozenset("comment comments disqus related replies reply respond".split())
 #: Common words of English, German, French and Spanish. Fixed values.
 STOP_WORDS = frozenset(
     """a an and are as at be by for from has he in is it of on or that the this to was were will with not his her they we you
@@ -53,20 +57,89 @@ _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until-found))|aria-hi
 _SPLIT = re.compile(r"[^a-z]+")
 
 
+@dataclass(eq=False)
+class Mark:
+    """An element that by its name or class is not the article. A loose one can also be a wrapper of the page."""
+
+    up: Mark | None  # the next one around it
+    loose: bool
+    chars: int = 0  # characters outside links
+    article: int = 0  # those of its largest unmarked article or main element
+    others: bool = False  # it, or one around it, isn't loose and has no article
+    outside: bool = False  # it, or one around it, counts
+
+
+@dataclass(eq=False)
+class Area:
+    """An article or main element."""
+
+    up: Area | None
+    mark: Mark | None
+    plain: bool  # unmarked
+    chars: int = 0
+
+
 @dataclass
 class Block:
     text: str
     links: int = 0  # characters inside links
-    inside: bool = False  # an element that marks the article
-    outside: bool = False  # an element that marks something else
+    area: Area | None = None  # an element that marks the article
+    mark: Mark | None = None  # an element that marks something else
     heading: bool = False
     label: str = ""
 
+    @property
+    def inside(self) -> bool:
+        return self.area is not None
+
+    @property
+    def outside(self) -> bool:
+        return self.mark is not None and self.mark.outside
+
+    @property
+    def plain(self) -> int:
+        return max(0, len(self.text) - self.links)
+
+
+def weigh(found: list[Block], areas: list[Area], marks: list[Mark]) -> None:
+    """Says which marks count: not those that wrap the article or, if loose, most of the page's text. Outer elements come first in the lists.
+
+    Text is counted without links, and without that of marks that aren't loose and have no article in them. The article is an
+    unmarked article or main element with at least a quarter of the text, or half of it for marks that aren't loose.
+    """
+    for b in found:
+        if b.area:
+            b.area.chars += b.plain
+    for a in reversed(areas):
+        if a.up:
+            a.up.chars += a.chars
+        if a.mark and a.plain:
+            a.mark.article = max(a.mark.article, a.chars)
+    for m in reversed(marks):
+        if m.up:
+            m.up.article = max(m.up.article, m.article)
+    for m in marks:
+        m.others = bool(m.up and m.up.others) or not m.loose and not m.article
+    total = 0
+    for b in found:
+        if not (b.mark and b.mark.others):
+            total += b.plain
+            if b.mark:
+                b.mark.chars += b.plain
+    for m in reversed(marks):
+        if m.up:
+            m.up.chars += m.chars
+    for m in marks:
+        wrapper = m.article * (4 if m.loose else 2) >= total > 0 or m.loose and m.chars * 2 > total
+        m.outside = bool(m.up and m.up.outside) or not wrapper
+
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, with what their containers say. Empty ones are left out; raw elements, comments and tags have no text."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, and up to here: article, not text, link
+    stack: list[tuple[str, Area | None, Mark | None, bool]] = []  # name, and up to here: article, not text, link
+    areas: list[Area] = []
+    marks: list[Mark] = []
     parts: list[tuple[str, bool]] = []
     unclosed: set[str] = set()  # raw elements without an end tag in the rest of the page
 
@@ -74,8 +147,8 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(x for x, _ in parts).split())
             if text:
-                name, inside, outside, _ = stack[-1] if stack else ("", False, False, False)
-                found.append(Block(text, sum(len(x.strip()) for x, link in parts if link), inside, outside, name in HEADINGS))
+                name, inside, outside, _ = stack[-1] if stack else ("", None, None, False)
+                found.append(Block(text, sum(len(x.strip()) for x, link in parts if link), inside, outside, heading=name in HEADINGS))
             parts.clear()
 
     at, end = 0, len(page)
@@ -113,14 +186,20 @@ def blocks(page: str) -> list[Block]:
             continue
         while stack and stack[-1][0] in IMPLIED and name in IMPLIED[stack[-1][0]]:
             stack.pop()
-        _, inside, outside, link = stack[-1] if stack else ("", False, False, False)
-        marks = {w for x in _MARKED.findall(m[3]) for w in _SPLIT.split("".join(x).lower())} if m[3] else frozenset()
-        if name in ("article", "main") or "main" in marks and "role" in m[3].lower():
-            inside = True
-        if name in NOT_TEXT or name == "header" and not inside or not MARKS.isdisjoint(marks) or m[3] and _HIDDEN.search(m[3]):
-            outside = name not in ("html", "body", "main", "article") or outside
+        _, inside, outside, link = stack[-1] if stack else ("", None, None, False)
+        words = {w for x in _MARKED.findall(m[3]) for w in _SPLIT.split("".join(x).lower())} if m[3] else frozenset()
+        marked, hidden = not MARKS.isdisjoint(words), bool(m[3] and _HIDDEN.search(m[3]))
+        area = name in ("article", "main") or "main" in words and "role" in m[3].lower()
+        firm = name in NOT_TEXT - WRAPPERS or name == "header" and not inside and not area or hidden or not OTHERS.isdisjoint(words)
+        if (firm or name in WRAPPERS or marked) and name not in ("html", "body", "main", "article"):
+            outside = Mark(outside, not firm)
+            marks.append(outside)
+        if area:
+            inside = Area(inside, outside, name == "main" or not marked and not hidden)
+            areas.append(inside)
         stack.append((name, inside, outside, link or name == "a"))
     flush()
+    weigh(found, areas, marks)
     return found
 
 

@@ -211,6 +211,28 @@ def test_pages_with_raw_elements_left_open(page, text):
     assert html_text.extract(page) == text
 
 
+@pytest.mark.parametrize("wrapper", ["form", "div class='has-sidebar'", "div class='layout sidebar-right'", "div id=no-header", "section class='widget post'", "header", "aside"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_pages_within_a_wrapper(wrapper, inner):
+    menu, name = "<div class=menu><p>Here</p></div><div class='sidebar'><p>Side</p></div>", wrapper.split()[0]
+    page = f"<body><{wrapper}>{menu}<{inner}><p>{LONG}</p><p>{LONG}</p><div class=ad>Buy</div></{inner}><form><p>Mail</p></form></{name}><p>End</p></body>"
+    kept = inner != "div" or name not in ("header", "aside")
+    text = html_text.extract(page)
+    assert (f"{LONG}{LONG}".strip() in text) == kept and not any(x in text for x in ("Buy", "Mail", "Here", "Side"))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><p>{LONG}</p><div id=comments><p>{LONG * 4}</p><article class=comment><p>{LONG * 4}</p></article></div></article>", LONG.strip()),
+        (f"<main><p>{LONG}</p></main><aside><article><p>Teaser</p></article></aside><div class=widget><article><p>Teaser</p></article></div>", LONG.strip()),
+        (f"<article><p>{LONG}</p><form><fieldset><p>Mail</p></fieldset></form></article>", LONG.strip()),
+    ],
+)
+def test_pages_with_marked_parts(page, text):
+    assert html_text.extract(page) == text
+
+
 def test_pages_of_the_tables(spark):
     import html
 
