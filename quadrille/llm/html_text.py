@@ -2,8 +2,9 @@
 
 A page is cut into blocks at block-level tags. The first pass labels each block on its own, from the containers it stands
 in (navigation, header, footer, aside, form and the like, or class names that say so: not text, but where they wrap the article or most of the text), from the
-page's own markup of its article (``article``, ``main``: text), and else from its length, link density and
-stop-word density. What this leaves open, the second pass decides: short blocks take the label of their nearest decided neighbours,
+page's own markup of its article (``article``, ``main``: text, unless more than half is links), and else from its length, link density
+and stop-word density. Where the markup holds at least as much text as the rest has by these rules, only long blocks with many stop words count
+outside it. What this leaves open, the second pass decides: short blocks take the label of their nearest decided neighbours,
 the nearer one's where they differ (not text on a tie); a heading takes that of what follows it. Where no block is
 decided, all open ones are text.
 """
@@ -49,7 +50,7 @@ STOP_WORDS = frozenset(
     el los las y que del se por con para una su al lo como es no más""".split()
 )
 
-MAX_LINK_DENSITY, LONG, SHORT, LOW_STOPS, HIGH_STOPS = 0.2, 200, 70, 0.3, 0.32
+MAX_LINK_DENSITY, MAX_LINKS_INSIDE, LONG, SHORT, LOW_STOPS, HIGH_STOPS = 0.2, 0.5, 200, 70, 0.3, 0.32
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -65,6 +66,7 @@ class Mark:
     loose: bool
     chars: int = 0  # characters outside links
     article: int = 0  # those of its largest unmarked article or main element
+    prose: bool = False  # it has a long block with stop words
     others: bool = False  # it, or one around it, isn't loose and has no article
     outside: bool = False  # it, or one around it, counts
 
@@ -100,12 +102,23 @@ class Block:
     def plain(self) -> int:
         return max(0, len(self.text) - self.links)
 
+    @property
+    def stops(self) -> float:
+        """The share of stop words."""
+        words = self.text.lower().split()
+        return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
+
+    @property
+    def prose(self) -> bool:
+        return len(self.text) > LONG and self.stops >= HIGH_STOPS
+
 
 def weigh(found: list[Block], areas: list[Area], marks: list[Mark]) -> None:
     """Says which marks count: not those that wrap the article or, if loose, most of the page's text. Outer elements come first in the lists.
 
     Text is counted without links, and without that of marks that aren't loose and have no article in them. The article is an
-    unmarked article or main element with at least a quarter of the text, or half of it for marks that aren't loose.
+    unmarked article or main element with at least a quarter of the text, or half of it for marks that aren't loose. Where a larger
+    one stands elsewhere, most of the text is not enough without a long block with stop words.
     """
     for b in found:
         if b.area:
@@ -120,17 +133,20 @@ def weigh(found: list[Block], areas: list[Area], marks: list[Mark]) -> None:
             m.up.article = max(m.up.article, m.article)
     for m in marks:
         m.others = bool(m.up and m.up.others) or not m.loose and not m.article
+    best = max((a.chars for a in areas if a.plain), default=0)
     total = 0
     for b in found:
         if not (b.mark and b.mark.others):
             total += b.plain
             if b.mark:
                 b.mark.chars += b.plain
+                b.mark.prose = b.mark.prose or b.mark.article < best and b.prose
     for m in reversed(marks):
         if m.up:
             m.up.chars += m.chars
+            m.up.prose = m.up.prose or m.prose
     for m in marks:
-        wrapper = m.article * (4 if m.loose else 2) >= total > 0 or m.loose and m.chars * 2 > total
+        wrapper = m.article * (4 if m.loose else 2) >= total > 0 or m.loose and m.chars * 2 > total and (m.article >= best or m.prose)
         m.outside = bool(m.up and m.up.outside) or not wrapper
 
 
@@ -205,24 +221,27 @@ def blocks(page: str) -> list[Block]:
 
 def label(found: list[Block]) -> None:
     """Both passes; every block gets the label "text" or "not"."""
-    bounded = any(b.inside and not b.outside for b in found)
+    inside = sum(b.plain for b in found if b.inside and not b.outside)
     for b in found:
-        words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
         if b.outside:
             b.label = "not"
-        elif bounded:
-            b.label = "text" if b.inside else "not"
+        elif b.inside:
+            b.label = "text" if b.links <= MAX_LINKS_INSIDE * len(b.text) else "" if b.heading else "not"
         elif b.links > MAX_LINK_DENSITY * len(b.text):
             b.label = "not"
         elif len(b.text) < SHORT:
             b.label = ""
-        elif stops >= HIGH_STOPS and len(b.text) > LONG or stops >= LOW_STOPS:
+        elif (stops := b.stops) >= LOW_STOPS:
             b.label = "text"
         elif len(b.text) <= LONG:
             b.label = ""
         else:
             b.label = "text" if stops >= LOW_STOPS / 2 else "not"
+    # Where the page's own markup holds as much as what else looks like text, only long blocks with stop words count besides.
+    if inside and inside >= sum(b.plain for b in found if not b.inside and b.label == "text"):
+        for b in found:
+            if not b.inside and not b.outside:
+                b.label = "text" if b.label == "text" and b.prose else "not"
     decided = [k for k, b in enumerate(found) if b.label]
     labels = [b.label for b in found]
     at = 0

@@ -233,6 +233,20 @@ def test_pages_with_marked_parts(page, text):
     assert html_text.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><a href=1>Teaser</a></article><div><h2>Head</h2><p>{LONG * 2}</p><p>{LONG * 2}</p><p>Short</p><p>{LONG}</p></div><article><a href=2>Other</a></article>", f"Head {LONG * 4}Short {LONG.strip()}"),
+        (f"<div><p>{LONG}</p><p>{LONG}</p></div><article><p>Note</p></article>", f"{LONG * 2}Note"),
+        (f"<main><ul><li><a href=1>One link</a><li><a href=2>Another</a></ul><p>{LONG}</p><p>Short</p></main>", f"{LONG}Short"),
+        (f"<article><h1><a href=1>Title</a></h1><p>{LONG}</p><p>Short, with <a href=2>a link</a></p></article><p>{LONG[:100]}</p>", f"Title {LONG}Short, with a link"),
+        (f"<article><p>{LONG * 4}</p></article><p>Out</p><p>{LONG * 2}</p><p>Out</p>", (LONG * 6).strip()),
+    ],
+)
+def test_pages_with_evidence_against_the_markup(page, text):
+    assert html_text.extract(page) == text
+
+
 def test_pages_of_the_tables(spark):
     import html
 
