@@ -482,6 +482,17 @@ def title_normal_form(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", normal.title(first).alias("form"))
 
 
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(string_split(text, chr(10)), [NULL]) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS k FROM d)
+SELECT doc_id, k AS line, array_to_string(list_filter(list_transform(list_filter(string_split(replace(line, '-', ' '), ' '), lambda t: t <> '' AND NOT (starts_with(t, '[') AND ends_with(t, ']'))),
+       lambda t: replace(trim(strip_accents(lower(t))), '&', 'and')), lambda t: t <> ''), ' ') AS form FROM l""")
+def title_normal_form_lines(spark, sf_dir):
+    """Every line of every document; a document without text has one line without form."""
+    lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "value"))
+    return lines.select("doc_id", F.coalesce("line", F.lit(0)).alias("line"), normal.title(F.col("value")).alias("form"))
+
+
 @query(r"""
 SELECT p_partkey AS x, array_to_string(list_filter(list_transform(['The', p_name, 'of', '&', 'Co'], lambda t: lower(regexp_replace(replace(t, '&', 'and'), '[^A-Za-z0-9_]', '', 'g'))),
        lambda t: t NOT IN ('the', 'of', '')), ' ') AS form, 'ABC' AS abbreviation

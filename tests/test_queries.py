@@ -43,3 +43,9 @@ def test_entry_runs(spark):
 def test_every_query_has_a_twin():
     assert set(queries.QUERIES) == set(queries.SQL)
     assert os.path.isdir(SF)
+
+
+def test_titles_of_all_lines(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    found = {(r["doc_id"], r["line"]) for r in queries.QUERIES["title_normal_form_lines"](spark, SF).select("doc_id", "line").collect()}
+    assert found == {(r["doc_id"], k) for r in documents for k in range((r["text"] or "").count("\n") + 1)}
