@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import time
 import urllib.error
@@ -116,15 +117,21 @@ def read_workbooks(spark: SparkSession, path: str, header: int = 1, max_columns:
     return files.mapInPandas(run, "file string, sheet string, row int, column string, value string")
 
 
-def crawl(frontier: DataFrame, fetch_links: Callable[[DataFrame], DataFrame], max_rounds: int = 20) -> DataFrame:
-    """Everything reachable from ``frontier`` (column id): rounds of fetching new ids' links, against those visited."""
+def crawl(frontier: DataFrame, fetch_links: Callable[[DataFrame], DataFrame], max_rounds: int | None = None) -> DataFrame:
+    """Everything reachable from ``frontier`` (column id): rounds of fetching new ids' links, against those visited, until none is new.
+
+    With ``max_rounds``, links that still lead on after so many rounds are an error.
+    """
     from quadrille.store import written
 
     seen = written(frontier.select("id").distinct(), "crawl")
     new = seen
-    for _ in range(max_rounds):
+    for done in itertools.count(1):
         new = written(fetch_links(new).select("id").where(F.col("id").isNotNull()).distinct().join(seen, "id", "left_anti"), "crawl")
         if new.isEmpty():
             return seen
+        if max_rounds is not None and done >= max_rounds:
+            raise RuntimeError(f"links lead on after {max_rounds} rounds")
         seen = seen.unionByName(new)
-    return seen
+        if done % 16 == 0:  # long chains: one table again, as plans grow with their number
+            seen = written(seen, "crawl")

@@ -236,6 +236,16 @@ def test_crawl(spark):
     assert rows(services.crawl(spark.createDataFrame([("a",)], "id string"), follow), "id") == [(x,) for x in "abcde"]
 
 
+def test_crawl_of_a_long_chain(spark):
+    def follow(new):
+        return new.select((F.col("id") + 1).alias("id")).where("id <= 25")
+
+    start = spark.range(1)
+    assert sorted(r["id"] for r in services.crawl(start, follow).collect()) == list(range(26))
+    with pytest.raises(RuntimeError):
+        services.crawl(start, follow, max_rounds=3)
+
+
 def test_store(spark, tmp_path, people):
     store = QuadStore(spark, str(tmp_path / "store"))
     assert store.swap(people, "src", "v1") == people.count()
