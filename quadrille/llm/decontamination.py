@@ -181,35 +181,46 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col:
     return common.without_ids(docs, found, id_col)
 
 
-def _cutter(shared):
-    @F.pandas_udf(T.StringType())
-    def cut(texts: pd.Series) -> pd.Series:
+def _spotter(shared):
+    @F.pandas_udf(_SPANS)
+    def spot(texts: pd.Series, spans: pd.Series) -> pd.Series:
         block = shared.value
 
-        def one(text: str | None) -> str | None:
-            if not text:
-                return text
-            found = list(_WORDS.finditer(text.translate(_LOWER)))
-            ids = np.fromiter((block.vocabulary.get(m[0], 0) for m in found), np.int64, len(found))
-            out, at = [], 0
-            for start, length in merged([(start, length) for start, length, _ in block.hits(ids)]):
-                out.append(text[at : found[start].start()])
-                at = found[start + length - 1].end()
-            return "\n".join([*out, text[at:]])
+        def one(text: str | None, known) -> list[dict]:
+            words = words_of(text)
+            ids = np.fromiter((block.vocabulary.get(w, 0) for w in words), np.int64, len(words))
+            hits = [(start, length) for start, length, _ in block.hits(ids)]
+            return [{"start": a, "length": n} for a, n in merged([*((x["start"], x["length"]) for x in known), *hits])]
 
-        return texts.map(one)
+        return pd.Series(list(map(one, texts, spans)), index=texts.index, dtype=object)
 
-    return cut
+    return spot
+
+
+@F.pandas_udf(T.StringType())
+def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    def one(text: str | None, runs) -> str | None:
+        if not text:
+            return text
+        found = list(_WORDS.finditer(text.translate(_LOWER)))
+        out, at = [], 0
+        for x in runs:
+            out.append(text[at : found[x["start"]].start()])
+            at = found[x["start"] + x["length"] - 1].end()
+        return "\n".join([*out, text[at:]])
+
+    return pd.Series(list(map(one, texts, spans)), index=texts.index, dtype=object)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``docs`` with the hit words, and what stands between them, cut out of the texts; the rest stays as it is. Null stays null.
 
-    A cut leaves a line break. A query set of several blocks is cut block by block.
+    A cut leaves a line break. All blocks of a query set are looked up in the text as it was, and it is cut once.
     """
+    spans = F.array().cast(_SPANS)
     for block in blocks(benchmark, n, item_col, item_text_col, block_windows):
-        docs = docs.withColumn(text_col, _cutter(docs.sparkSession.sparkContext.broadcast(block))(F.col(text_col)))
-    return docs
+        spans = _spotter(docs.sparkSession.sparkContext.broadcast(block))(F.col(text_col), spans)
+    return docs.withColumn(text_col, _cut(F.col(text_col), spans))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -337,6 +337,18 @@ def test_decontamination_against_brute_force(spark, block):
     assert all(brute_hits(r["text"], [(2, "aa b")])[1] == 0 for r in cut.collect())
 
 
+def test_cuts_do_not_depend_on_blocks(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    docs = frame(spark, [(1, f"Before. {item}, after"), (2, "w0 w1 x y"), (3, None), (4, ""), (5, "p q a b c d r s"), (6, item)])
+    bench = spark.createDataFrame([(1, item), (2, "a b c d"), (3, "q r s")], "item_id long, text string")
+
+    def cut(block_windows):
+        return {r["doc_id"]: r["text"] for r in decontamination.cut_spans(docs, bench, block_windows=block_windows).collect()}
+
+    assert cut(500_000) == {1: "Before. \n, after", 2: "w0 w1 x y", 3: None, 4: "", 5: "p q \n r s", 6: "\n"}
+    assert cut(1) == cut(7) == cut(500_000)
+
+
 def test_decontamination_without_items(spark):
     bench = spark.createDataFrame([], "item_id string, text string")
     assert [r["contaminated"] for r in decontamination.find_contamination(frame(spark, [(1, "a b")]), bench).collect()] == [False]
