@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quadrille import terms
 from quadrille.functions import names, normal, scalars
-from quadrille.operators import derive, publish, resolve, rewrite
+from quadrille.operators import derive, publish, resolve, rewrite, select
 from quadrille.operators.lift import Field, lift
 from quadrille.plans import patterns as P
 from quadrille.plans.rules import apply_rules, minus, until_stable
@@ -315,6 +315,23 @@ def split_ranked_people(spark, sf_dir):
     return parts.select(F.col("p_partkey").alias("x"), "person", (F.col("at") + 1).alias("rank"))
 
 
+@query(r"""
+WITH t AS (SELECT p_partkey AS x, ['Dr ', 'Prof. ', 'a/prof  ', '', 'Mrs '][p_size % 5 + 1] || p_name || ';; ' || p_type || ' ; ' || p_brand || ' ' || p_name || ';' || CASE WHEN p_size % 2 = 0 THEN ' Ms. ' || p_brand ELSE 'Dr' END || '; ' AS people FROM part),
+e AS (SELECT x, list_filter(list_transform(string_split(people, ';'), lambda p: trim(p)), lambda p: p <> '') AS ps FROM t),
+r AS (SELECT x, unnest(ps) AS person, generate_subscripts(ps, 1) AS rank FROM e),
+w AS (SELECT x, rank, list_filter(string_split(person, ' '), lambda t: t <> '') AS words FROM r),
+n AS (SELECT x, rank, words, len(words) > 1 AND lower(rtrim(words[1], '.')) IN ('dr', 'prof', 'a/prof', 'mr', 'ms', 'mrs', 'professor') AS titled FROM w),
+m AS (SELECT x, rank, CASE WHEN titled THEN words[1] ELSE '' END AS title, CASE WHEN titled THEN words[2:] ELSE words END AS name FROM n)
+SELECT x, CASE WHEN len(name) > 1 THEN array_to_string(name[1:len(name) - 1], ' ') ELSE name[1] END AS first, CASE WHEN len(name) > 1 THEN name[len(name)] ELSE '' END AS last, title, rank FROM m""")
+def split_titled_people(spark, sf_dir):
+    """The people of a text made of a part's columns: with and without titles, of one to three words, with empty entries between them."""
+    rows = read(spark, sf_dir, "part")
+    title = F.get(F.array(*map(F.lit, ("Dr ", "Prof. ", "a/prof  ", "", "Mrs "))), F.col("p_size") % 5)
+    other = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(" Ms. "), "p_brand")).otherwise("Dr")
+    text = F.concat(title, "p_name", F.lit(";; "), "p_type", F.lit(" ; "), "p_brand", F.lit(" "), "p_name", F.lit(";"), other, F.lit("; "))
+    return rows.select(F.col("p_partkey").alias("x"), F.explode(select.split_people(text)).alias("person")).select("x", "person.*")
+
+
 @query(f"SELECT '{NS}customer/' || c_custkey AS s, '{LABEL}' AS p FROM customer UNION ALL SELECT '{NS}customer/' || c_custkey, '{TYPE}' FROM customer")
 def filter_predicates(spark, sf_dir):
     return rewrite.without_generic(quads(spark, sf_dir, "customer"), (NS + "inNation", NS + "segment")).select("s", "p")

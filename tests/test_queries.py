@@ -49,3 +49,9 @@ def test_titles_of_all_lines(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     found = {(r["doc_id"], r["line"]) for r in queries.QUERIES["title_normal_form_lines"](spark, SF).select("doc_id", "line").collect()}
     assert found == {(r["doc_id"], k) for r in documents for k in range((r["text"] or "").count("\n") + 1)}
+
+
+def test_titled_people_of_all_parts(spark):
+    found = queries.QUERIES["split_titled_people"](spark, SF).collect()
+    assert {r["title"] for r in found} == {"Dr", "Prof.", "a/prof", "Mrs", "Ms.", ""}
+    assert {r["rank"] for r in found} == {1, 2, 3, 4} and len({r["x"] for r in found}) == spark.read.parquet(f"{SF}/part.parquet").count()
