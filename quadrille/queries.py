@@ -247,6 +247,18 @@ def count_distinct_having(spark, sf_dir):
     return of.groupBy(F.regexp_replace("c", "^.*concept-", "").alias("slug")).agg(F.countDistinct("d").alias("works"))
 
 
+@query(r"""
+WITH words AS (SELECT DISTINCT doc_id AS d, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS k FROM documents),
+slugs AS (SELECT d, regexp_replace(regexp_replace(lower(k), '[^a-z0-9_]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM words)
+SELECT slug, count(DISTINCT d) AS works FROM slugs WHERE length(slug) BETWEEN 1 AND 31 GROUP BY slug HAVING count(DISTINCT d) >= 5""")
+def count_distinct_having_words(spark, sf_dir):
+    """All words of all documents as keywords."""
+    documents = read(spark, sf_dir, "documents")
+    q = lift(documents, iri("document", documents["doc_id"]), {"text": Field(VIVO + "freetextKeyword", split="[ \n]")})
+    of = P.scan(derive.keyword_concepts(q), "?d", VIVO + "hasSubjectArea", "?c")
+    return of.groupBy(F.regexp_replace("c", "^.*concept-", "").alias("slug")).agg(F.countDistinct("d").alias("works"))
+
+
 @query("SELECT o_custkey AS c, min(o_orderpriority) AS least, max(o_orderpriority) AS most FROM orders GROUP BY o_custkey")
 def min_max_per_subject(spark, sf_dir):
     found = P.bind(P.match(quads(spark, sf_dir, "orders"), ("?o", v("by"), "?c"), ("?o", v("urgency"), "?u")), u=terms.text(F.col("u")))
@@ -383,6 +395,14 @@ def csv_split_values(spark, sf_dir):
     return P.match(q, ("?s", v("key"), "?x"), ("?s", v("word"), "?word")).select(terms.text(F.col("x")).cast("long").alias("x"), told("word"))
 
 
+@query("SELECT x, line FROM (SELECT doc_id AS x, trim(unnest(string_split(text, chr(10)))) AS line FROM documents) WHERE line NOT IN ('', 'N/A')")
+def csv_split_values_lines(spark, sf_dir):
+    """All lines of all documents."""
+    documents = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "text")
+    q = files.lift_csv(documents, NS, ["key"], {"key": Field(v("key")), "text": Field(v("line"), split="\n", nulls=("N/A",))})
+    return P.match(q, ("?s", v("key"), "?x"), ("?s", v("line"), "?line")).select(terms.text(F.col("x")).cast("long").alias("x"), told("line"))
+
+
 @query("SELECT n_nationkey AS n, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation")
 def xml_lift_nations(spark, sf_dir):
     rows = read(spark, sf_dir, "nation").select("n_nationkey", F.format_string('<nation region="%s"><name>%s</name><empty> </empty></nation>', F.col("n_regionkey").cast("string"), "n_name").alias("xml"))
@@ -519,6 +539,16 @@ def org_normal_form(spark, sf_dir):
     return rows.select(F.col("p_partkey").alias("x"), normal.organization(F.col("label")).alias("n")).select("x", "n.form", "n.abbreviation")
 
 
+@query(r"""
+SELECT p_partkey AS x, array_to_string(list_filter(list_transform(string_split('The ' || p_name || ' of & ' || p_type || ' Co', ' '), lambda t: lower(regexp_replace(replace(t, '&', 'and'), '[^A-Za-z0-9_]', '', 'g'))),
+       lambda t: t NOT IN ('the', 'of', 'for', 'from', 'on', 'a', 'an', '')), ' ') AS form, upper(left(p_name, 2) || left(p_type, 1)) AS abbreviation FROM part""")
+def org_normal_form_names(spark, sf_dir):
+    """Whole names, with an abbreviation of the row's own letters."""
+    short = F.upper(F.concat(F.left("p_name", F.lit(2)), F.left("p_type", F.lit(1))))
+    label = F.concat(F.lit("The "), "p_name", F.lit(" of & "), "p_type", F.lit(" Co ("), short, F.lit(")"))
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("x"), normal.organization(label).alias("n")).select("x", "n.form", "n.abbreviation")
+
+
 _FORMS = """
 WITH n AS (SELECT p_partkey AS x, string_split(p_name, ' ')[1] AS given, string_split(p_name, ' ')[2] AS family FROM part),
 f AS (SELECT x, 'A1' AS level, family || ', ' || substr(given, 1, 1) AS value FROM n

@@ -55,3 +55,11 @@ def test_titled_people_of_all_parts(spark):
     found = queries.QUERIES["split_titled_people"](spark, SF).collect()
     assert {r["title"] for r in found} == {"Dr", "Prof.", "a/prof", "Mrs", "Ms.", ""}
     assert {r["rank"] for r in found} == {1, 2, 3, 4} and len({r["x"] for r in found}) == spark.read.parquet(f"{SF}/part.parquet").count()
+
+
+def test_whole_scopes_of_names_lines_and_words(spark):
+    q = queries.QUERIES
+    assert q["org_normal_form_names"](spark, SF).select("abbreviation").distinct().count() > 1
+    documents = spark.read.parquet(f"{SF}/documents.parquet").where("trim(text) != ''")
+    assert q["csv_split_values_lines"](spark, SF).select("x").distinct().count() == documents.select("doc_id").distinct().count()
+    assert q["count_distinct_having_words"](spark, SF).count() > q["count_distinct_having"](spark, SF).count()
