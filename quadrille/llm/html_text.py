@@ -1,20 +1,33 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. The first pass labels each block on its own, from the containers it stands
-in (navigation, header, footer, aside, form and the like, or class names that say so: not text, but where they wrap the article or most of the text), from the
-page's own markup of its article (``article``, ``main``: text, unless more than half is links), and else from its length, link density
-and stop-word density. Where the markup holds at least as much text as the rest has by these rules, only long blocks with many stop words count
-outside it. What this leaves open, the second pass decides: short blocks take the label of their nearest decided neighbours,
-the nearer one's where they differ (not text on a tie); a heading takes that of what follows it. Where no block is
-decided, all open ones are text.
+A page is cut into blocks at block-level tags. A block that stands in a menu, header, footer, form or the like, by the element's name or
+class, is not text, but where that element wraps the article or most of the page's text.
+
+The first pass decides on every other block from its length, link density and stop-word density:
+
+1. more links than ``MAX_LINKS`` of its text (in the page's own article ``MAX_LINKS_INSIDE``): not text, but a heading there is open;
+2. shorter than ``SHORT``: open;
+3. stop words at ``HIGH_STOPS`` or above, or longer than ``LONG`` and at ``LOW_STOPS`` or above: text;
+4. up to ``LONG``, or in the page's own article: open;
+5. longer, with few stop words: open if rule 3 decided on a block of the same parent element; else not text if it decided on any (the page's language is known), else text.
+
+Where elements ``article`` or ``main`` hold at least as much text as the rest has by these rules, a block of the rest has to be long and at ``HIGH_STOPS`` to be text, and else isn't.
+That, the higher ``MAX_LINKS_INSIDE`` and rule 4 are all that those elements mean.
+
+The second pass gives open blocks the label of their nearest neighbours that these rules decided: among blocks of the same parent
+element if there are any, else among all on their side of the article's border. Of two at different distance the nearer one counts, of two at the same
+"not text" does; a heading takes what follows it, if anything does. Without any neighbour an open block is text, unless the page has an article that it
+isn't in.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +63,17 @@ STOP_WORDS = frozenset(
     el los las y que del se por con para una su al lo como es no más""".split()
 )
 
-MAX_LINK_DENSITY, MAX_LINKS_INSIDE, LONG, SHORT, LOW_STOPS, HIGH_STOPS = 0.2, 0.5, 200, 70, 0.3, 0.32
+MAX_LINKS, MAX_LINKS_INSIDE, SHORT, LONG, LOW_STOPS, HIGH_STOPS = 0.2, 0.5, 70, 200, 0.15, 0.3
+#: Elements that are one block of their parent rather than a container. Fixed values.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption caption td th tr address".split())
+#: Words before a mark in a class that say it is not there; words after it that say where it is. Fixed values.
+WITHOUT, WHERE = frozenset("no has with without not non hide show".split()), frozenset("left right top bottom main primary secondary first second wrapper container content area box block inner outer list section bar link links".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
-_MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_MARKED = re.compile(r"""(?<![^\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_MAIN = re.compile(r"""(?<![^\s"'/])role\s*=\s*["']?main\b""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until-found))|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden)""", re.I)
-_SPLIT = re.compile(r"[^a-z]+")
+_SPLIT, _WORDS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])"), re.compile(r"[^\W\d_]+")
 
 
 @dataclass(eq=False)
@@ -88,6 +106,7 @@ class Block:
     area: Area | None = None  # an element that marks the article
     mark: Mark | None = None  # an element that marks something else
     heading: bool = False
+    parent: int = 0  # the element that it shares with its siblings
     label: str = ""
 
     @property
@@ -102,17 +121,30 @@ class Block:
     def plain(self) -> int:
         return max(0, len(self.text) - self.links)
 
-    @property
+    @cached_property
     def stops(self) -> float:
         """The share of stop words."""
-        words = self.text.lower().split()
-        return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
+        words = _WORDS.findall(self.text.lower())
+        return sum(map(STOP_WORDS.__contains__, words)) / max(1, len(words))
 
     @property
     def prose(self) -> bool:
         return len(self.text) > LONG and self.stops >= HIGH_STOPS
 
 
+def marks_of(value: str) -> set[str]:
+    """The marks of a class, id or role: whole tokens, or the last part of a token such as 'site-footer' unless the first part denies it ('no-sidebar', 'has-sidebar'),
+    or the first part where the others only say where it is ('sidebar-left')."""
+    found = set()
+    for token in value.split():
+        parts = [x.lower() for x in _SPLIT.split(token) if x]
+        if token.lower() in MARKS:
+            found.add(token.lower())
+        elif len(parts) > 1 and parts[0] not in WITHOUT:
+            found |= MARKS.intersection(parts[-1:]) or (MARKS.intersection(parts[:1]) if WHERE.issuperset(parts[1:]) else set())
+    return found
+
+
 def weigh(found: list[Block], areas: list[Area], marks: list[Mark]) -> None:
     """Says which marks count: not those that wrap the article or, if loose, most of the page's text. Outer elements come first in the lists.
 
@@ -153,18 +185,22 @@ def weigh(found: list[Block], areas: list[Area], marks: list[Mark]) -> None:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, with what their containers say. Empty ones are left out; raw elements, comments and tags have no text."""
     found: list[Block] = []
-    stack: list[tuple[str, Area | None, Mark | None, bool]] = []  # name, and up to here: article, not text, link
+    stack: list[tuple[str, Area | None, Mark | None, bool, int]] = []  # name, and up to here: article, not text, link; the element's number
     areas: list[Area] = []
     marks: list[Mark] = []
     parts: list[tuple[str, bool]] = []
     unclosed: set[str] = set()  # raw elements without an end tag in the rest of the page
+    elements = 0
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(x for x, _ in parts).split())
             if text:
-                name, inside, outside, _ = stack[-1] if stack else ("", None, None, False)
-                found.append(Block(text, sum(len(x.strip()) for x, link in parts if link), inside, outside, heading=name in HEADINGS))
+                _, inside, outside, _, _ = stack[-1] if stack else ("", None, None, False, 0)
+                around = [x for x in stack if x[0] in BLOCK]
+                name = around[-1][0] if around else ""
+                around = around[:-1] if name in LEAVES else around
+                found.append(Block(text, sum(len(x.strip()) for x, link in parts if link), inside, outside, name in HEADINGS, around[-1][4] if around else 0))
             parts.clear()
 
     at, end = 0, len(page)
@@ -200,12 +236,18 @@ def blocks(page: str) -> list[Block]:
             gap = page.find(">", close.end() - 1) if close else -1
             at = end if close is None else (close.end() if page[close.end() - 1] == ">" else (gap + 1 or end))
             continue
-        while stack and stack[-1][0] in IMPLIED and name in IMPLIED[stack[-1][0]]:
-            stack.pop()
-        _, inside, outside, link = stack[-1] if stack else ("", None, None, False)
-        words = {w for x in _MARKED.findall(m[3]) for w in _SPLIT.split("".join(x).lower())} if m[3] else frozenset()
-        marked, hidden = not MARKS.isdisjoint(words), bool(m[3] and _HIDDEN.search(m[3]))
-        area = name in ("article", "main") or "main" in words and "role" in m[3].lower()
+        while True:  # elements that end where this one begins; links that are open in them go on
+            top = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK), -1)
+            if top < 0 or name not in IMPLIED.get(stack[top][0], ()):
+                break
+            links = [x for x in stack[top + 1 :] if x[0] == "a"]
+            del stack[top:]
+            stack += links
+        _, inside, outside, link, _ = stack[-1] if stack else ("", None, None, False, 0)
+        values = ["".join(x) for x in _MARKED.findall(m[3])] if m[3] else []
+        words = set().union(*map(marks_of, values))
+        marked, hidden = bool(words), bool(m[3] and _HIDDEN.search(m[3]))
+        area = name in ("article", "main") or "main" in values and bool(_MAIN.search(m[3]))
         firm = name in NOT_TEXT - WRAPPERS or name == "header" and not inside and not area or hidden or not OTHERS.isdisjoint(words)
         if (firm or name in WRAPPERS or marked) and name not in ("html", "body", "main", "article"):
             outside = Mark(outside, not firm)
@@ -213,49 +255,62 @@ def blocks(page: str) -> list[Block]:
         if area:
             inside = Area(inside, outside, name == "main" or not marked and not hidden)
             areas.append(inside)
-        stack.append((name, inside, outside, link or name == "a"))
+        elements += 1
+        stack.append((name, inside, outside, link or name == "a", elements))
     flush()
     weigh(found, areas, marks)
     return found
 
 
-def label(found: list[Block]) -> None:
-    """Both passes; every block gets the label "text" or "not"."""
-    inside = sum(b.plain for b in found if b.inside and not b.outside)
+def decide(found: list[Block]) -> None:
+    """The first pass: labels "text", "not" and, where a block is open, "". Blocks that an element says are not text are "not"."""
     for b in found:
+        b.label = ""
         if b.outside:
             b.label = "not"
-        elif b.inside:
-            b.label = "text" if b.links <= MAX_LINKS_INSIDE * len(b.text) else "" if b.heading else "not"
-        elif b.links > MAX_LINK_DENSITY * len(b.text):
-            b.label = "not"
-        elif len(b.text) < SHORT:
-            b.label = ""
-        elif (stops := b.stops) >= LOW_STOPS:
+        elif b.links > (MAX_LINKS_INSIDE if b.inside else MAX_LINKS) * len(b.text):
+            b.label = "" if b.inside and b.heading else "not"
+        elif len(b.text) >= SHORT and (b.stops >= HIGH_STOPS or len(b.text) > LONG and b.stops >= LOW_STOPS):
             b.label = "text"
-        elif len(b.text) <= LONG:
-            b.label = ""
-        else:
-            b.label = "text" if stops >= LOW_STOPS / 2 else "not"
-    # Where the page's own markup holds as much as what else looks like text, only long blocks with stop words count besides.
+    prose = {(b.parent, b.inside) for b in found if b.label == "text"}
+    for b in found:
+        if not b.label and not b.inside and len(b.text) > LONG and (b.parent, b.inside) not in prose:
+            b.label = "not" if prose else "text"
+    inside = sum(b.plain for b in found if b.inside and b.label != "not")
     if inside and inside >= sum(b.plain for b in found if not b.inside and b.label == "text"):
         for b in found:
-            if not b.inside and not b.outside:
-                b.label = "text" if b.label == "text" and b.prose else "not"
-    decided = [k for k, b in enumerate(found) if b.label]
-    labels = [b.label for b in found]
-    at = 0
+            if not b.inside and not b.prose:
+                b.label = "not"
+
+
+def nearest(found: list[Block], among: list[int], k: int) -> str:
+    """What the nearest of the blocks ``among`` (their places, in order) say on block ``k``."""
+    at = bisect_left(among, k)
+    before, after = (k - among[at - 1], found[among[at - 1]].label) if at else None, (among[at] - k, found[among[at]].label) if at < len(among) else None
+    if after is None or before is None:
+        return (before or after)[1]
+    if found[k].heading or before[1] == after[1]:
+        return after[1]
+    return "not" if before[0] == after[0] else min(before, after)[1]
+
+
+def label(found: list[Block]) -> None:
+    """Both passes; every block gets the label "text" or "not"."""
+    decide(found)
+    siblings: dict[tuple[int, bool], list[int]] = {}
+    sides: dict[bool, list[int]] = {}
+    for k, b in enumerate(found):
+        if b.label and not b.outside:  # what an element says ends with it
+            sides.setdefault(b.inside, []).append(k)
+            siblings.setdefault((b.parent, b.inside), []).append(k)
+    an_article = any(b.inside for b in found)
+    given = {}
     for k, b in enumerate(found):
-        while at < len(decided) and decided[at] < k:
-            at += 1
         if not b.label:
-            before, after = decided[at - 1] if at else None, decided[at] if at < len(decided) else None
-            near = [labels[n] for n in (before, after) if n is not None]
-            if b.heading and after is not None:
-                near = [labels[after]]
-            elif before is not None and after is not None and near[0] != near[1]:
-                near = ["not"] if k - before == after - k else [near[0] if k - before < after - k else near[1]]
-            b.label = near[0] if near else "text"
+            among = siblings.get((b.parent, b.inside)) or sides.get(b.inside)
+            given[k] = nearest(found, among, k) if among else "text" if b.inside or not an_article else "not"
+    for k, x in given.items():
+        found[k].label = x
 
 
 def extract(page: str | None) -> str:
