@@ -11,7 +11,7 @@ from quadrille.functions.scalars import strip_accents
 ORGANIZATION_STOP_WORDS = ("the", "of", "for", "from", "on", "a", "an")
 
 #: Upper case, dots and hyphens, with one to nine letters.
-_ABBREVIATION = r"^[.\-]*(?:\p{Lu}[.\-]*){1,9}$"
+_ABBREVIATION = r"^[.\-]*(?:\p{javaUpperCase}[.\-]*){1,9}$"
 
 
 def is_abbreviation(token: Column) -> Column:
@@ -19,29 +19,31 @@ def is_abbreviation(token: Column) -> Column:
 
 
 def organization(label: Column) -> Column:
-    """struct(form, abbreviation) of an organization's label; null label: null.
+    """struct(form, abbreviation) of an organization's label; a label without abbreviation has null there, a null label is null.
 
-    A label that is one abbreviation is its abbreviation. A first word 'ABC-word' (when the label isn't all capitals) gives the abbreviation ABC and the word; a last word in
-    parentheses that is an abbreviation is added to the abbreviation and leaves the form. In the form '&' is 'and', other
-    characters than ASCII letters, digits and '_' vanish, then lower case without accents, stop words and empty words.
+    Abbreviation: the label if it is one; else ABC where the first word is 'ABC-word' and the label isn't all capitals (the word then stands for the first one). A last word that
+    begins with '(' and is an abbreviation without its punctuation is one too: it follows the other after a space, and leaves the form.
+    Form: the words but for stop words; one that is '&' is 'and'; of others, all characters but ASCII letters, digits and '_' go, so that accented letters vanish; in lower case.
     """
-    tokens = F.filter(F.split(label, " "), lambda t: t != "")
-    first, last = F.get(tokens, 0), F.get(tokens, F.size(tokens) - 1)
-    single = (F.size(tokens) == 1) & is_abbreviation(first)
-    halves = F.split(first, "-")
-    prefixed = ~single & (label != F.upper(label)) & (F.size(halves) == 2) & is_abbreviation(F.get(halves, 0)) & ~is_abbreviation(F.get(halves, 1))
-    rest = F.when(prefixed, F.concat(F.array(F.get(halves, 1)), F.slice(tokens, 2, F.size(tokens)))).otherwise(tokens)
-    bare = F.regexp_replace(last, r"[^A-Za-z0-9_]", "")
-    closing = last.startswith("(") & is_abbreviation(bare) & (F.size(tokens) > 1)
-    kept = F.when(closing, F.slice(rest, 1, F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
-    words = F.transform(kept, lambda t: F.lower(F.regexp_replace(F.regexp_replace(t, "&", "and"), r"[^A-Za-z0-9_]", "")))
-    words = F.filter(F.transform(words, strip_accents), lambda t: (t != "") & ~t.isin(*ORGANIZATION_STOP_WORDS))
-    form = F.when(single, F.lit("")).otherwise(F.array_join(words, " "))
-    short = F.concat(F.when(single, first).when(prefixed, F.get(halves, 0)).otherwise(F.lit("")), F.when(closing, bare).otherwise(F.lit("")))
+    words = F.split(F.regexp_replace(label, " +$", ""), " ")
+    first, last, n = F.get(words, 0), F.get(words, F.size(words) - 1), F.size(words)
+    halves = F.split(F.regexp_replace(first, "-+$", ""), "-")
+    prefixed = (label != F.upper(label)) & (F.size(halves) == 2) & is_abbreviation(F.get(halves, 0)) & ~is_abbreviation(F.get(halves, 1))
+    named = F.when((n == 1) & is_abbreviation(first), first).when(prefixed, F.get(halves, 0))
+    begin = F.when(prefixed, F.get(halves, 1)).otherwise(first)
+    ending = F.when(n == 1, begin).otherwise(last)
+    bare = F.regexp_replace(ending, r"[^A-Za-z0-9_]", "")
+    closing = ending.startswith("(") & is_abbreviation(bare)
+    rest = F.concat(F.array(begin), F.slice(words, 2, n))
+    kept = F.when(closing, F.slice(rest, 1, n - 1)).otherwise(rest)
+    plain = F.transform(kept, lambda w: F.when(w == "&", "and").otherwise(F.lower(F.regexp_replace(w, r"[^A-Za-z0-9_]", ""))))
+    form = F.array_join(F.filter(plain, lambda w: (w != "") & ~w.isin(*ORGANIZATION_STOP_WORDS)), " ")
+    short = F.when(named.isNotNull() & closing, F.concat(named, F.lit(" "), bare)).when(closing, bare).otherwise(named)
     return F.when(label.isNotNull(), F.struct(form.alias("form"), short.alias("abbreviation")))
 
 
 def title(label: Column) -> Column:
-    """The form of a journal's, concept's or work's title: hyphens are spaces, words in brackets go, lower case without accents, '&' is 'and'."""
+    """The form of a journal's, concept's or work's title: hyphens are spaces, words in brackets go, lower case without accents; a word '&' is 'and'."""
     words = F.filter(F.split(F.regexp_replace(label, "-", " "), " "), lambda t: (t != "") & ~(t.startswith("[") & t.endswith("]")))
-    return F.array_join(F.filter(F.transform(words, lambda t: F.regexp_replace(F.trim(strip_accents(F.lower(t))), "&", "and")), lambda t: t != ""), " ")
+    plain = F.transform(words, lambda t: F.regexp_replace(strip_accents(F.lower(t)), r"^[\x00-\x20]+|[\x00-\x20]+$", ""))
+    return F.array_join(F.transform(F.filter(plain, lambda t: t != ""), lambda t: F.when(t == "&", "and").otherwise(t)), " ")

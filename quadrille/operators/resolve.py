@@ -6,8 +6,6 @@ Atoms give candidate pairs, a rule intersects its atoms, guards drop what is kno
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,41 +173,7 @@ def name_ladder(holders: DataFrame, forms: DataFrame, different: DataFrame | Non
     return guarded(open_y.unionByName(least_y), None, different)
 
 
-@dataclass(frozen=True)
-class MergeRule:
-    """A rule of the rule list: what it is for, and its atoms."""
-
-    name: str
-    affected: str
-    atoms: tuple = ()
-    priority: int = 0
-    disabled: bool = False
-
-
-#: Rules run by what they are about. Fixed values; other classes count 0.
-ORDER = {"Collection": -2, "Document": -1, "Organization": 1, "Person": 2}
-
-
-def in_order(rules: list[MergeRule]) -> list[MergeRule]:
-    """The enabled rules by class order, then class name."""
-    return sorted((r for r in rules if not r.disabled), key=lambda r: (ORDER.get(r.affected.rsplit("/", 1)[-1].rsplit("#", 1)[-1], 0), r.affected))
-
-
-def merge(quads: DataFrame, rules: list[tuple[str, Callable[[DataFrame, DataFrame], DataFrame]]], different: DataFrame | None = None, passes: int = 2) -> DataFrame:
-    """(x, y, rule): what named rules find, in ``passes`` passes with a bounded closure after each. A rule gets the quads and the edges so far."""
-    spark = quads.sparkSession
-    found = written(spark.createDataFrame([], "x string, y string, rule string"), "merge")
-    for _ in range(passes):
-        for name, atoms in rules:
-            edges = found.select("x", "y")
-            found = written(found.unionByName(guarded(atoms(quads, edges), edges, different).withColumn("rule", F.lit(name))), "merge")
-        found = written(found.unionByName(transitive(found.select("x", "y")).withColumn("rule", F.lit("transitive"))), "merge")
-    return found
-
-
-def suspicious(pairs: DataFrame, least: int = 128) -> DataFrame:
-    """One row: pairs, resources, and whether there are at least ``least`` pairs and half the square of the resources."""
-    sizes = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("x").alias("resources"))
+def suspicious(pairs: DataFrame, *by: str, least: int = 128) -> DataFrame:
+    """Pairs, resources, and whether there are at least ``least`` pairs and half the square of the resources: one row, or one for each value of ``by``."""
+    sizes = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("x").alias("resources"))
     return sizes.withColumn("suspicious", (F.col("pairs") >= least) & (F.col("pairs") >= F.col("resources") * F.col("resources") / 2))
-
-

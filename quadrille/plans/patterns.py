@@ -20,7 +20,7 @@ from quadrille.terms import Term
 def scan(quads: DataFrame, s: str, p: str, o: str, g: str | None = None) -> DataFrame:
     """The bindings of one pattern. A part starting with '?' is a variable, any other a constant: an IRI, or for the object a key (``terms.literal_key``)."""
     names: dict[str, str] = {}
-    rows = quads
+    rows = quads if p.startswith("?") else terms.holding(quads, [p], None if o.startswith("?") else o)
     for column, part in (("s", s), ("p", p), ("o_key", o), ("g", g)):
         if part is None:
             continue
@@ -55,7 +55,7 @@ def star(quads: DataFrame, subject: str, **objects: str) -> DataFrame:
     Meant for predicates with few values a subject; the values are gathered before they are combined.
     """
     values = {v: F.collect_set(F.when(F.col("p") == p, F.col("o_key"))).alias(v) for v, p in objects.items()}
-    rows = quads.where(F.col("p").isin(list(objects.values()))).groupBy(F.col("s").alias(subject.lstrip("?"))).agg(*values.values())
+    rows = terms.holding(quads, list(objects.values())).where(F.col("p").isin(list(objects.values()))).groupBy(F.col("s").alias(subject.lstrip("?"))).agg(*values.values())
     for v in objects:
         rows = rows.withColumn(v, F.explode(v))
     return rows
@@ -86,7 +86,9 @@ def not_exists(left: DataFrame, *rights: DataFrame) -> DataFrame:
 
 def union(*branches: DataFrame) -> DataFrame:
     """UNION: a variable that a branch lacks is unbound there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    known = [terms.parts_of(b) for b in branches]
+    return terms.parted(whole, [x for b, own in zip(branches, known, strict=True) for x in own or [terms.Part(b)]]) if any(known) else whole
 
 
 def values(rows: DataFrame, variable: str, items: list[str]) -> DataFrame:
@@ -115,10 +117,11 @@ def path_plus(edges: DataFrame, start: str, end: str, max_rounds: int = 40) -> D
     raise RuntimeError(f"paths grow after {max_rounds} rounds")
 
 
-def construct(rows: DataFrame, *templates: tuple, graph: Column | str | None = None) -> DataFrame:
+def construct(rows: DataFrame, *templates: tuple, graph: Column | str | None = None, branches: bool = False) -> DataFrame:
     """CONSTRUCT: per row a statement for each template (s, p, o), in one pass; those with an unbound part are left out, repeats too.
 
-    A part is a variable ('?x'), a constant IRI, or a ``Term``.
+    A part is a variable ('?x'), a constant IRI, or a ``Term``. With ``branches`` the plan has one branch for each template and repeats stay: for rows without repeats
+    whose statements patterns will scan one predicate at a time.
     """
 
     def column(part) -> Column:
@@ -128,13 +131,19 @@ def construct(rows: DataFrame, *templates: tuple, graph: Column | str | None = N
 
     def statement(s, p, o) -> Column:
         if isinstance(o, Term):
+            dt = None if o.datatype == terms.XSD + "string" else o.datatype
             lang = o.lang if isinstance(o.lang, Column) else F.lit(o.lang)
-            fields = o.value, F.lit(o.kind), F.lit(o.datatype), lang
+            fields = o.value, F.lit(o.kind), F.lit(dt), lang, terms.known_key(o.value, o.kind, dt, o.lang)
         elif o.startswith("?"):
-            fields = terms.parts(F.col(o[1:]))
+            fields = *terms.parts(F.col(o[1:])), F.col(o[1:])
         else:
-            fields = F.lit(o), F.lit("iri"), F.lit(None), F.lit(None)
-        return F.struct(column(s).alias("s"), column(p).alias("p"), *(f.cast("string").alias(n) for f, n in zip(fields, ("o", "o_kind", "o_dt", "o_lang"), strict=True)))
-
-    made = rows.select(F.explode(F.array(*(statement(*t) for t in templates))).alias("t"), (graph if isinstance(graph, Column) else F.lit(graph).cast("string")).alias("g"))
-    return terms.quads(made.select("g", "t.*").where("s is not null and p is not null and o is not null")).dropDuplicates(list(terms.KEY))
+            fields = F.lit(o), F.lit("iri"), F.lit(None), F.lit(None), F.lit(o)
+        return F.struct(column(s).alias("s"), column(p).alias("p"), *(f.cast("string").alias(n) for f, n in zip(fields, terms.SCHEMA.names[3:], strict=True)))
+
+    g = (graph if isinstance(graph, Column) else F.lit(graph).cast("string")).alias("g")
+    bound = "s is not null and p is not null and o is not null"
+    if branches:
+        made = [rows.select(statement(*t).alias("t"), g).select("g", "t.*").where(bound) for t in templates]
+        return terms.parted(union(*made), [terms.Part(x, p if isinstance(p, str) and not p.startswith("?") else None, o if isinstance(o, str) and not o.startswith("?") else None) for x, (_, p, o) in zip(made, templates, strict=True)])
+    made = rows.select(F.explode(F.array(*(statement(*t) for t in templates))).alias("t"), g)
+    return made.select("g", "t.*").where(bound).dropDuplicates(list(terms.KEY))

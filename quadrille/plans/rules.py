@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quadrille import terms
 from quadrille.plans import patterns
@@ -25,13 +26,22 @@ class Rule:
 
 
 def apply_rules(quads: DataFrame, rules: Iterable[Rule | Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """``quads`` and what the rules add in order, as a set; a rule sees what earlier ones added.
+    """``quads``, a set of statements, and what the rules add in order, as a set; a rule sees what earlier ones added.
 
-    Only what a rule adds is written down, so plans don't grow with the number of rules and the statements themselves aren't copied.
+    Only what a rule adds is written down, and only that is compared with the statements of the same predicates; the statements themselves aren't copied.
     """
     for rule in rules:
-        quads = quads.unionByName(written(rule(quads), "added"))
-    return quads.dropDuplicates(list(terms.KEY))
+        made = written(rule(quads), "made")
+        constant = isinstance(rule, Rule) and all(isinstance(p, str) and not p.startswith("?") for _, p, *_ in rule.templates)
+        predicates = sorted({p for _, p, *_ in rule.templates}) if constant else []
+        alike = terms.holding(quads, predicates).where(F.col("p").isin(predicates)) if constant else quads
+        quads = patterns.union(quads, written(minus(made, common(alike, made)), "added"))
+    return quads
+
+
+def common(quads: DataFrame, others: DataFrame) -> DataFrame:
+    """Statements of ``quads`` that are among ``others``; graphs that are null agree."""
+    return _met(quads, others, "left_semi")
 
 
 def until_stable(quads: DataFrame, rules: Iterable[Callable[[DataFrame], DataFrame]], max_rounds: int = 8) -> DataFrame:
@@ -48,8 +58,12 @@ def until_stable(quads: DataFrame, rules: Iterable[Callable[[DataFrame], DataFra
 
 def minus(quads: DataFrame, gone: DataFrame) -> DataFrame:
     """Set difference on whole statements; graphs that are null agree."""
-    gone = gone.select(*(gone[c].alias(f"__{c}") for c in terms.KEY))
-    on = quads["g"].eqNullSafe(gone["__g"])
+    return _met(quads, gone, "left_anti")
+
+
+def _met(quads: DataFrame, others: DataFrame, how: str) -> DataFrame:
+    others = others.select(*(others[c].alias(f"__{c}") for c in terms.KEY))
+    on = quads["g"].eqNullSafe(others["__g"])
     for c in terms.KEY[1:]:
-        on = on & (quads[c] == gone[f"__{c}"])
-    return quads.join(gone, on, "left_anti")
+        on = on & (quads[c] == others[f"__{c}"])
+    return quads.join(others, on, how)

@@ -5,78 +5,21 @@ Each query lifts driver tables to quads (whole tables), runs an operator and pro
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quadrille import terms
 from quadrille.functions import names, normal, scalars
-from quadrille.operators import derive, publish, resolve, rewrite, select
+from quadrille.operators import atoms, derive, publish, resolve, rewrite, select
 from quadrille.operators.lift import Field, lift
 from quadrille.plans import patterns as P
 from quadrille.plans.rules import apply_rules, minus, until_stable
+from quadrille.registry import FLAGSHIP, NS, QUERIES, SQL, iri, number, quads, query, read, told, v
 from quadrille.sources import files
 from quadrille.terms import FOAF, LABEL, OBO, TYPE, VIVO
 
-NS = "http://example.org/quadrille/"
-FLAGSHIP = "publish_flow"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    """Registers a function under its name, with its SQL twin."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def v(predicate: str) -> str:
-    return NS + predicate
-
-
-#: How driver tables become statements: class, key, and fields (links have a prefix). Money is in cents, as text of doubles differs between engines.
-LIFTS = {
-    "customer": ("Customer", "c_custkey", {"c_name": Field(LABEL), "c_nationkey": Field(v("inNation"), NS + "nation/"), "c_mktsegment": Field(v("segment"))}),
-    "nation": ("Nation", "n_nationkey", {"n_name": Field(LABEL), "n_regionkey": Field(v("inRegion"), NS + "region/")}),
-    "region": ("Region", "r_regionkey", {"r_name": Field(LABEL)}),
-    "supplier": ("Supplier", "s_suppkey", {"s_name": Field(LABEL), "s_nationkey": Field(v("inNation"), NS + "nation/")}),
-    "part": ("Part", "p_partkey", {"p_name": Field(LABEL), "p_brand": Field(v("brand")), "p_type": Field(v("kind")), "p_size": Field(v("size"), datatype=terms.XSD + "int")}),
-    "orders": ("Order", "o_orderkey", {"o_custkey": Field(v("by"), NS + "customer/"), "o_orderstatus": Field(v("status")), "o_orderpriority": Field(v("urgency"))}),
-}
-
-
-def quads(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
-    def one(table: str) -> DataFrame:
-        cls, key, fields = LIFTS[table]
-        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-        return lift(rows, iri(table, rows[key]), fields, v(cls), NS + "graph/" + table)
-
-    return P.union(*map(one, tables))
-
-
-def iri(table: str, key: Column) -> Column:
-    return F.concat(F.lit(f"{NS}{table}/"), key.cast("string"))
-
-
-def number(var: str) -> Column:
-    """The key in an IRI of LIFTS."""
-    return F.substring_index(var, "/", -1).cast("long").alias(var)
-
-
-def told(var: str) -> Column:
-    return terms.text(F.col(var)).alias(var)
-
-
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+__all__ = ["FLAGSHIP", "QUERIES", "SQL"]
 
 
 # --- patterns ---------------------------------------------------------------------------------------------------------
@@ -100,7 +43,7 @@ UNION ALL SELECT '{NS}customer/' || c_custkey, '{LABEL}', c_name FROM customer
 UNION ALL SELECT '{NS}customer/' || c_custkey, '{NS}inNation', '{NS}nation/' || c_nationkey FROM customer
 UNION ALL SELECT '{NS}customer/' || c_custkey, '{NS}segment', c_mktsegment FROM customer""")
 def lift_customer_triples(spark, sf_dir):
-    return quads(spark, sf_dir, "customer").select("s", "p", "o")
+    return quads(spark, sf_dir, "customer", one_pass=True).select("s", "p", "o")
 
 
 @query("SELECT c_custkey AS c, o_orderkey AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P'")
@@ -208,8 +151,8 @@ ON a.l_orderkey = b.l_orderkey AND a.l_suppkey = b.l_suppkey AND a.l_linenumber
 def theta_relationship_join(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem")
     node = F.concat(iri("line", rows["l_orderkey"]), F.lit("-"), rows["l_linenumber"].cast("string"))
-    q = lift(rows, node, {"l_orderkey": Field(v("ofOrder"), NS + "order/"), "l_suppkey": Field(v("from"), NS + "supplier/")}).dropDuplicates(list(terms.KEY))
-    lines = P.match(q, ("?a", v("ofOrder"), "?o"), ("?a", v("from"), "?s"))
+    q = lift(rows, node, {"l_orderkey": Field(v("ofOrder"), NS + "order/"), "l_suppkey": Field(v("from"), NS + "supplier/")})
+    lines = P.star(q, "?a", o=v("ofOrder"), s=v("from"))
     pairs = P.join(lines, lines.withColumnRenamed("a", "b")).where("a != b")
     line = lambda c: F.substring_index(c, "-", -1).cast("int")
     return pairs.select(number("o"), F.least(line("a"), line("b")).alias("x"), F.greatest(line("a"), line("b")).alias("y")).distinct()
@@ -321,12 +264,6 @@ def trim_literals(spark, sf_dir):
     return rewrite.clean_literals(marked).select(number("s").alias("c"), "o")
 
 
-@query("SELECT p_partkey AS x, unnest(string_split(p_name || ';' || p_brand, ';')) AS person, unnest([1, 2]) AS rank FROM part")
-def split_ranked_people(spark, sf_dir):
-    parts = read(spark, sf_dir, "part").select("p_partkey", F.posexplode(F.split(F.concat_ws(";", "p_name", "p_brand"), ";")).alias("at", "person"))
-    return parts.select(F.col("p_partkey").alias("x"), "person", (F.col("at") + 1).alias("rank"))
-
-
 @query(r"""
 WITH t AS (SELECT p_partkey AS x, ['Dr ', 'Prof. ', 'a/prof  ', '', 'Mrs '][p_size % 5 + 1] || p_name || ';; ' || p_type || ' ; ' || p_brand || ' ' || p_name || ';' || CASE WHEN p_size % 2 = 0 THEN ' Ms. ' || p_brand ELSE 'Dr' END || '; ' AS people FROM part),
 e AS (SELECT x, list_filter(list_transform(string_split(people, ';'), lambda p: trim(p)), lambda p: p <> '') AS ps FROM t),
@@ -334,8 +271,8 @@ r AS (SELECT x, unnest(ps) AS person, generate_subscripts(ps, 1) AS rank FROM e)
 w AS (SELECT x, rank, list_filter(string_split(person, ' '), lambda t: t <> '') AS words FROM r),
 n AS (SELECT x, rank, words, len(words) > 1 AND lower(rtrim(words[1], '.')) IN ('dr', 'prof', 'a/prof', 'mr', 'ms', 'mrs', 'professor') AS titled FROM w),
 m AS (SELECT x, rank, CASE WHEN titled THEN words[1] ELSE '' END AS title, CASE WHEN titled THEN words[2:] ELSE words END AS name FROM n)
-SELECT x, CASE WHEN len(name) > 1 THEN array_to_string(name[1:len(name) - 1], ' ') ELSE name[1] END AS first, CASE WHEN len(name) > 1 THEN name[len(name)] ELSE '' END AS last, title, rank FROM m""")
-def split_titled_people(spark, sf_dir):
+SELECT x, CASE WHEN len(name) > 1 THEN array_to_string(name[1:len(name) - 1], ' ') ELSE name[1] END AS first, CASE WHEN len(name) > 1 THEN name[len(name)] ELSE '' END AS last, title, CAST(rank AS INTEGER) AS rank FROM m""")
+def split_ranked_people(spark, sf_dir):
     """The people of a text made of a part's columns: with and without titles, of one to three words, with empty entries between them."""
     rows = read(spark, sf_dir, "part")
     title = F.get(F.array(*map(F.lit, ("Dr ", "Prof. ", "a/prof  ", "", "Mrs "))), F.col("p_size") % 5)
@@ -371,11 +308,11 @@ def filter_fixpoint(spark, sf_dir):
 
 @query("SELECT o_orderkey AS o FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')")
 def dead_end_prune(spark, sf_dir):
-    q = quads(spark, sf_dir, "orders", "customer")
-    alive = P.scan(q, "?c", v("segment"), terms.literal_key("BUILDING"))
-    ends = P.not_exists(P.scan(q, "?s", v("by"), "?c"), alive).select("s")
-    left = q.join(ends, "s", "left_anti")
-    return P.scan(left, "?o", TYPE, v("Order")).select(number("o"))
+    """Orders relate to customers, of which only builders have a type of their own; orders of others lead nowhere."""
+    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    typed = customers.withColumn("type", F.when(F.col("c_mktsegment") == "BUILDING", v("Builder")).otherwise(terms.THING))
+    q = P.union(lift(orders, iri("order", orders["o_orderkey"]), {"o_custkey": Field(VIVO + "relates", NS + "customer/")}, v("Order")), lift(typed, iri("customer", typed["c_custkey"]), {"type": Field(TYPE, "")}))
+    return P.scan(select.without_dead_ends(q, (v("Order"),)), "?o", TYPE, v("Order")).select(number("o"))
 
 
 @query("SELECT o_orderkey AS o, strftime(o_orderdate, '%Y') || '-01-01T00:00:00Z' AS t FROM orders")
@@ -414,9 +351,9 @@ def xml_lift_nations(spark, sf_dir):
 
 @query("SELECT event_id AS e, CAST(props->>'k' AS INTEGER) AS k FROM events WHERE props->>'k' IS NOT NULL")
 def json_lift_events(spark, sf_dir):
-    events = read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
-    q = lift(events, iri("event", events["event_id"]), {"k": Field(v("k"), datatype=terms.XSD + "int")})
-    return P.scan(q, "?e", v("k"), "?k").select(number("e"), scalars.to_int(terms.text(F.col("k"))).alias("k"))
+    tree = files.nodes(read(spark, sf_dir, "events"), "event_id", "props", "json")
+    ids = tree.where("parent is null").select(terms.skolem(NS, F.col("record"), F.col("node")).alias("s"), F.col("record").cast("long").alias("e"))
+    return P.join(P.scan(files.lift_nodes(tree, NS), "?s", v("k"), "?k"), ids).select("e", scalars.to_int(terms.text(F.col("k"))).alias("k"))
 
 
 @query("SELECT event_id AS e, CAST(props->>'k' AS INTEGER) AS k FROM events WHERE props->>'k' IS NOT NULL")
@@ -425,13 +362,15 @@ def json_tree_events(spark, sf_dir):
     return tree.where("name = 'k'").select(F.col("record").cast("long").alias("e"), F.col("value").cast("int").alias("k"))
 
 
-@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages")
+@query("SELECT page_id, url, md5(trim(html, chr(32) || chr(9) || chr(10) || chr(13))) AS body FROM pages")
 def xml_lift_pages(spark, sf_dir):
-    pages = read(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", '<html lang="([^"]*)"', 1).alias("lang"))
-    q = terms.quads(pages.select(iri("page", pages["page_id"]).alias("s"), F.lit(LABEL).alias("p"), F.col("title").alias("o"), F.col("lang").alias("o_lang")))
-    found = P.scan(q, "?s", LABEL, "?t")
-    o, _, _, lang = terms.parts(F.col("t"))
-    return found.select(number("s").alias("page_id"), o.alias("title"), lang.alias("lang"))
+    """Pages as XML records with the whole page as text."""
+    safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    rows = read(spark, sf_dir, "pages").select("page_id", F.concat(F.lit('<page url="'), safe(F.col("url")), F.lit('"><head><none/></head><body>'), safe(F.col("html")), F.lit("</body></page>")).alias("xml"))
+    tree = files.nodes(rows, "page_id", "xml", "xml")
+    found = P.match(files.lift_nodes(tree, NS), ("?s", TYPE, v("page")), ("?s", v("url"), "?url"), ("?s", v("body"), "?body"))
+    ids = tree.where("parent is null").select(terms.skolem(NS, F.col("record"), F.col("node")).alias("s"), F.col("record").cast("long").alias("page_id"))
+    return P.join(found, ids).select("page_id", told("url"), F.md5(terms.text(F.col("body"))).alias("body"))
 
 
 # --- resolution ---------------------------------------------------------------------------------------------------------
@@ -456,15 +395,17 @@ def sameas_intersection(spark, sf_dir):
 
 
 @query("""
-WITH r AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p, l_suppkey AS s FROM lineitem)
-SELECT DISTINCT a.o AS x, b.o AS y FROM r a JOIN r b ON a.p = b.p AND a.s = b.s AND a.o <> b.o""")
+WITH r AS (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem)
+SELECT a.o || '-' || a.s AS x, b.o || '-' || b.s AS y FROM r a JOIN r b ON a.o = b.o AND a.s // 2 = b.s // 2 AND a.s <> b.s""")
 def sameas_relationship(spark, sf_dir):
-    """Orders with a line of one part from one supplier: relationships with the same ends."""
-    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey").distinct()
-    node = F.concat_ws("-", iri("line", rows["l_orderkey"]), rows["l_partkey"].cast("string"), rows["l_suppkey"].cast("string"))
-    q = lift(rows, node, {"l_orderkey": Field(v("ofOrder"), NS + "order/"), "l_partkey": Field(v("part"), NS + "part/"), "l_suppkey": Field(v("from"), NS + "supplier/")})
-    lines = P.bind(P.star(q, "?r", x=v("ofOrder"), p=v("part"), s=v("from")), value=F.concat_ws("|", "p", "s"))
-    return resolve.same_value(lines.select("x", "value")).select(number("x"), number("y"))
+    """Lines as relationships between orders and suppliers, where suppliers 2k and 2k + 1 are the same."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    node = F.concat_ws("-", iri("line", rows["l_orderkey"]), rows["l_suppkey"].cast("string"))
+    line = rows.select(node.alias("x"), iri("order", rows["l_orderkey"]).alias("a"), iri("supplier", rows["l_suppkey"]).alias("b"))
+    q = P.construct(line, ("?x", TYPE, VIVO + "Position"), ("?x", VIVO + "relates", "?a"), ("?x", VIVO + "relates", "?b"), ("?x", terms.MOST_SPECIFIC, VIVO + "Position"), branches=True)
+    suppliers = read(spark, sf_dir, "supplier")
+    roots = suppliers.select(iri("supplier", suppliers["s_suppkey"]).alias("node"), iri("supplier", F.floor(suppliers["s_suppkey"] / 2) * 2).alias("root"))
+    return atoms.relationships(q, roots).select(F.regexp_replace("x", "^.*/", "").alias("x"), F.regexp_replace("y", "^.*/", "").alias("y"))
 
 
 @query("""
@@ -510,43 +451,60 @@ def initials_match(spark, sf_dir):
     return resolve.fuzzy(values, resolve.FIRST_LETTER)
 
 
-@query(r"""
-WITH l AS (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents)
-SELECT doc_id, array_to_string(list_filter(list_transform(list_filter(string_split(replace(line, '-', ' '), ' '), lambda t: t <> '' AND NOT (starts_with(t, '[') AND ends_with(t, ']'))),
-       lambda t: replace(trim(strip_accents(lower(t))), '&', 'and')), lambda t: t <> ''), ' ') AS form FROM l""")
-def title_normal_form(spark, sf_dir):
-    first = F.get(F.split("text", "\n"), 0)
-    return read(spark, sf_dir, "documents").select("doc_id", normal.title(first).alias("form"))
-
-
 @query(r"""
 WITH d AS (SELECT doc_id, coalesce(string_split(text, chr(10)), [NULL]) AS lines FROM documents),
-l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS k FROM d)
-SELECT doc_id, k AS line, array_to_string(list_filter(list_transform(list_filter(string_split(replace(line, '-', ' '), ' '), lambda t: t <> '' AND NOT (starts_with(t, '[') AND ends_with(t, ']'))),
-       lambda t: replace(trim(strip_accents(lower(t))), '&', 'and')), lambda t: t <> ''), ' ') AS form FROM l""")
-def title_normal_form_lines(spark, sf_dir):
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS k FROM d),
+w AS (SELECT doc_id, k, list_filter(string_split(replace(line, '-', ' '), ' '), lambda t: t <> '' AND NOT (starts_with(t, '[') AND ends_with(t, ']'))) AS ws FROM l)
+SELECT doc_id, k AS line, array_to_string(list_transform(list_filter(list_transform(ws, lambda t: regexp_replace(strip_accents(lower(t)), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')), lambda t: t <> ''), lambda t: CASE WHEN t = '&' THEN 'and' ELSE t END), ' ') AS form FROM w""")
+def title_normal_form(spark, sf_dir):
     """Every line of every document; a document without text has one line without form."""
     lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "value"))
-    return lines.select("doc_id", F.coalesce("line", F.lit(0)).alias("line"), normal.title(F.col("value")).alias("form"))
+    return lines.select("doc_id", F.coalesce("line", F.lit(0)).cast("long").alias("line"), normal.title(F.col("value")).alias("form"))
 
 
 @query(r"""
-SELECT p_partkey AS x, array_to_string(list_filter(list_transform(['The', p_name, 'of', '&', 'Co'], lambda t: lower(regexp_replace(replace(t, '&', 'and'), '[^A-Za-z0-9_]', '', 'g'))),
-       lambda t: t NOT IN ('the', 'of', '')), ' ') AS form, 'ABC' AS abbreviation
-FROM (SELECT p_partkey, string_split(p_name, ' ')[1] AS p_name FROM part)""")
-def org_normal_form(spark, sf_dir):
-    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("The "), F.get(F.split("p_name", " "), 0), F.lit(" of & Co (ABC)")).alias("label"))
-    return rows.select(F.col("p_partkey").alias("x"), normal.organization(F.col("label")).alias("n")).select("x", "n.form", "n.abbreviation")
+WITH t AS (
+    SELECT p_partkey AS x, ['R&D ', '[Review] ', 'Ünï-Versité ', '& ', ''][p_partkey % 5 + 1] || p_name || ['-', ' & ', '&', ' [', ' Š '][p_size % 5 + 1] || p_type || ['', ']', ' &', '-&-', '  x'][p_size % 7 % 5 + 1] AS label FROM part),
+w AS (SELECT x, list_filter(string_split(replace(label, '-', ' '), ' '), lambda t: t <> '' AND NOT (starts_with(t, '[') AND ends_with(t, ']'))) AS ws FROM t)
+SELECT x, array_to_string(list_transform(ws, lambda t: CASE WHEN t = '&' THEN 'and' ELSE strip_accents(lower(t)) END), ' ') AS form FROM w""")
+def title_normal_form_labels(spark, sf_dir):
+    """Labels with '&' alone and inside words, brackets, hyphens and accents."""
+    rows = read(spark, sf_dir, "part")
+    pick = lambda k, *xs: F.get(F.array(*map(F.lit, xs)), k.cast("int"))
+    label = F.concat(pick(F.col("p_partkey") % 5, "R&D ", "[Review] ", "Ünï-Versité ", "& ", ""), "p_name", pick(F.col("p_size") % 5, "-", " & ", "&", " [", " Š "), "p_type", pick(F.col("p_size") % 7 % 5, "", "]", " &", "-&-", "  x"))
+    return rows.select(F.col("p_partkey").alias("x"), normal.title(label).alias("form"))
 
 
 @query(r"""
-SELECT p_partkey AS x, array_to_string(list_filter(list_transform(string_split('The ' || p_name || ' of & ' || p_type || ' Co', ' '), lambda t: lower(regexp_replace(replace(t, '&', 'and'), '[^A-Za-z0-9_]', '', 'g'))),
-       lambda t: t NOT IN ('the', 'of', 'for', 'from', 'on', 'a', 'an', '')), ' ') AS form, upper(left(p_name, 2) || left(p_type, 1)) AS abbreviation FROM part""")
-def org_normal_form_names(spark, sf_dir):
-    """Whole names, with an abbreviation of the row's own letters."""
-    short = F.upper(F.concat(F.left("p_name", F.lit(2)), F.left("p_type", F.lit(1))))
-    label = F.concat(F.lit("The "), "p_name", F.lit(" of & "), "p_type", F.lit(" Co ("), short, F.lit(")"))
-    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("x"), normal.organization(label).alias("n")).select("x", "n.form", "n.abbreviation")
+WITH l AS (
+    SELECT p_partkey AS x, upper(left(p_name, 3)) AS abc, CASE p_partkey % 12
+        WHEN 0 THEN p_name || ' ' || p_type WHEN 1 THEN upper(left(p_name, 3)) WHEN 2 THEN '(' || upper(left(p_name, 3)) || ')'
+        WHEN 3 THEN upper(left(p_name, 3)) || '-' || p_name || ' & ' || p_type || ' (' || upper(left(p_type, 2)) || ')' WHEN 4 THEN 'R&D Institute of ' || p_name
+        WHEN 5 THEN 'Centre de Génétique ' || p_name || ' on the ' || p_type WHEN 6 THEN upper(p_name) || '-NORTH OF A-B' WHEN 7 THEN 'The ' || p_name || ' (north)'
+        WHEN 8 THEN NULL WHEN 9 THEN p_name || '  &  ' || p_brand || ' (' || upper(left(p_name, 3)) || '.)  ' WHEN 10 THEN upper(left(p_name, 3)) || '-' || upper(left(p_type, 3)) || ' for ' || p_name ELSE 'U.S. & ' || p_name || '-' || p_brand END AS label FROM part),
+t AS (SELECT *, string_split(rtrim(label, ' '), ' ') AS ws FROM l),
+h AS (SELECT *, string_split(rtrim(ws[1], '-'), '-') AS hv FROM t),
+c AS (
+    SELECT *, len(ws) = 1 AND regexp_full_match(ws[1], '[.\-]*([A-Z][.\-]*){1,9}') AS sole,
+           label <> upper(label) AND len(hv) = 2 AND regexp_full_match(hv[1], '[.\-]*([A-Z][.\-]*){1,9}') AND NOT regexp_full_match(coalesce(hv[2], ''), '[.\-]*([A-Z][.\-]*){1,9}') AS prefixed FROM h),
+r AS (SELECT *, CASE WHEN sole THEN ws[1] WHEN prefixed THEN hv[1] END AS own, CASE WHEN prefixed THEN [hv[2]] || ws[2:] ELSE ws END AS vs FROM c),
+e AS (SELECT *, regexp_replace(vs[-1], '[^A-Za-z0-9_]', '', 'g') AS bare FROM r),
+f AS (SELECT *, starts_with(vs[-1], '(') AND regexp_full_match(bare, '[.\-]*([A-Z][.\-]*){1,9}') AS closing FROM e),
+k AS (SELECT *, CASE WHEN closing THEN vs[:len(vs) - 1] ELSE vs END AS kept FROM f)
+SELECT x, CASE WHEN label IS NOT NULL THEN array_to_string(list_filter(list_transform(kept, lambda w: CASE WHEN w = '&' THEN 'and' ELSE lower(regexp_replace(w, '[^A-Za-z0-9_]', '', 'g')) END),
+       lambda w: w NOT IN ('the', 'of', 'for', 'from', 'on', 'a', 'an', '')), ' ') END AS form, CASE WHEN own IS NOT NULL AND closing THEN own || ' ' || bare WHEN closing THEN bare ELSE own END AS abbreviation FROM k""")
+def org_normal_form(spark, sf_dir):
+    """Labels of twelve kinds: plain, sole, leading and closing abbreviations, several of them, '&' inside words and alone, accents, capitals, null."""
+    rows = read(spark, sf_dir, "part")
+    name, kind, brand = F.col("p_name"), F.col("p_type"), F.col("p_brand")
+    abc = F.upper(F.left(name, F.lit(3)))
+    labels = [
+        F.concat(name, F.lit(" "), kind), abc, F.concat(F.lit("("), abc, F.lit(")")), F.concat(abc, F.lit("-"), name, F.lit(" & "), kind, F.lit(" ("), F.upper(F.left(kind, F.lit(2))), F.lit(")")), F.concat(F.lit("R&D Institute of "), name),
+        F.concat(F.lit("Centre de Génétique "), name, F.lit(" on the "), kind), F.concat(F.upper(name), F.lit("-NORTH OF A-B")), F.concat(F.lit("The "), name, F.lit(" (north)")),
+        F.lit(None).cast("string"), F.concat(name, F.lit("  &  "), brand, F.lit(" ("), abc, F.lit(".)  ")), F.concat(abc, F.lit("-"), F.upper(F.left(kind, F.lit(3))), F.lit(" for "), name), F.concat(F.lit("U.S. & "), name, F.lit("-"), brand),
+    ]
+    label = F.get(F.array(*labels), (F.col("p_partkey") % len(labels)).cast("int"))
+    return rows.select(F.col("p_partkey").alias("x"), normal.organization(label).alias("n")).select("x", "n.form", "n.abbreviation")
 
 
 _FORMS = """
@@ -667,10 +625,10 @@ def participates_in(spark, sf_dir):
     supplier, order = F.concat(F.lit(NS + "supplier/"), rows["l_suppkey"].cast("string")), F.concat(F.lit(NS + "order/"), rows["l_orderkey"].cast("string"))
     lines = rows.select(node.alias("r"), supplier.alias("x"), order.alias("y"), odd.alias("odd"))
     q = P.union(
-        P.construct(lines.where("odd"), ("?r", OBO + "RO_0000052", "?x"), ("?r", OBO + "BFO_0000054", "?y")),
-        P.construct(lines.where("not odd"), ("?r", TYPE, VIVO + "Grant"), ("?r", VIVO + "relates", "?x"), ("?r", VIVO + "relates", "?y")),
-        P.construct(lines.select("x").distinct(), ("?x", TYPE, FOAF + "Organization")),
-        P.construct(lines.select("y").distinct(), ("?y", TYPE, VIVO + "Project")),
+        P.construct(lines.where("odd"), ("?r", OBO + "RO_0000052", "?x"), ("?r", OBO + "BFO_0000054", "?y"), branches=True),
+        P.construct(lines.where("not odd"), ("?r", TYPE, VIVO + "Grant"), ("?r", VIVO + "relates", "?x"), ("?r", VIVO + "relates", "?y"), branches=True),
+        P.construct(lines.select("x").distinct(), ("?x", TYPE, FOAF + "Organization"), branches=True),
+        P.construct(lines.select("y").distinct(), ("?y", TYPE, VIVO + "Project"), branches=True),
     )
     return P.scan(derive.participates(q), "?x", OBO + "RO_0000056", "?y").select(number("x"), number("y"))
 
@@ -720,8 +678,6 @@ def migrate_by_diff(spark, sf_dir):
 @query("SELECT c_custkey AS c, n_regionkey AS top FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def positions_at_top(spark, sf_dir):
     """Customers hold positions in nations, which are parts of regions."""
-    from quadrille.operators import select
-
     customers, nations = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
     held = customers.select(iri("position", customers["c_custkey"]).alias("pos"), F.concat(F.lit(NS + "nation/"), F.col("c_nationkey").cast("string")).alias("o"))
     parts = nations.select(iri("nation", nations["n_nationkey"]).alias("o"), F.concat(F.lit(NS + "region/"), F.col("n_regionkey").cast("string")).alias("up"))
@@ -735,8 +691,6 @@ SELECT 'customer' AS kind, c_custkey AS x, 4 AS statements FROM c
 UNION ALL SELECT 'nation', n_nationkey, 3 FROM n
 UNION ALL SELECT DISTINCT 'region', n_regionkey, 2 FROM n""")
 def relevant_subgraph(spark, sf_dir):
-    from quadrille.operators import select
-
     q = quads(spark, sf_dir, "customer", "nation", "region")
     about = select.relevant(q, "building", [v("segment")], v("Customer"))
     return about.groupBy(F.regexp_extract("s", "/([a-z]+)/[0-9]+$", 1).alias("kind"), number("s").alias("x")).agg(F.count(F.lit(1)).cast("int").alias("statements"))
@@ -744,10 +698,8 @@ def relevant_subgraph(spark, sf_dir):
 
 @query("SELECT p_partkey AS x, min(p_partkey) OVER (PARTITION BY p_name, p_size, p_brand) AS y FROM part QUALIFY x <> y")
 def keep_smallest_peer(spark, sf_dir):
-    from quadrille.operators import atoms
-
     parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("x"), F.concat_ws("|", "p_name", "p_size", "p_brand").alias("value"))
-    return atoms.keep_smallest(resolve.same_value(parts)).select(F.col("old").alias("x"), F.col("new").alias("y"))
+    return atoms.keep_smallest(resolve.representatives(parts)).select(F.col("old").alias("x"), F.col("new").alias("y"))
 
 
 @query("""
@@ -755,10 +707,11 @@ WITH r AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s, l_orderkey AS o, l_li
 SELECT DISTINCT a.o || '-' || a.n || '-' || a.p || '-' || a.s AS x, b.o || '-' || b.n || '-' || b.p || '-' || b.s AS y FROM r a JOIN r b ON a.p = b.p AND a.s = b.s AND (a.o, a.n) <> (b.o, b.n)""")
 def sameas_roles(spark, sf_dir):
     """Lines as roles that suppliers have in parts: one type, one bearer, one process."""
-    from quadrille.operators import atoms
-
     rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
     line = rows.select(F.concat(F.lit(NS + "line/"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("x"), F.concat(F.lit(NS + "supplier/"), F.col("l_suppkey").cast("string")).alias("a"), F.concat(F.lit(NS + "part/"), F.col("l_partkey").cast("string")).alias("b"))
     q = P.construct(line, ("?x", atoms.BEARER, "?a"), ("?x", atoms.REALIZED_IN, "?b"), ("?x", atoms.MOST_SPECIFIC, v("Line")))
     none = spark.createDataFrame([], "node string, root string")
     return atoms.roles(q, none).select(F.regexp_replace("x", "^.*/", "").alias("x"), F.regexp_replace("y", "^.*/", "").alias("y"))
+
+
+from quadrille import queries_resolution, queries_rewriting  # noqa: E402, F401  they register theirs

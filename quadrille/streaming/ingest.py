@@ -19,10 +19,7 @@ def ingest(records: DataFrame, to_quads: Callable[[DataFrame], DataFrame], store
     """Starts a query that writes the statements of a stream of records; ``once`` takes what there is and ends."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        version = f"batch-{number:012d}"
-        if version in store.versions(source):
-            store.clear(source, version)
-        store.append(to_quads(rows).dropDuplicates(list(terms.KEY)), source, version)
+        store.replace(to_quads(rows).dropDuplicates(list(terms.KEY)), source, f"batch-{number:012d}")
 
     writer = records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

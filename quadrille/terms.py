@@ -8,6 +8,8 @@ xsd:string are the same. In bindings a variable holds such a key, so joins compa
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,35 @@ SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("g", "s", "p",
 KEY = ("g", "s", "p", "o_key")
 
 
+@dataclass(frozen=True)
+class Part:
+    """A part of a table of statements: all of one predicate and, if ``o`` is given, one object; of any where ``p`` is None."""
+
+    rows: DataFrame
+    p: str | None = None
+    o: str | None = None
+
+
+_parts: WeakKeyDictionary[DataFrame, list[Part]] = WeakKeyDictionary()
+
+
+def parted(whole: DataFrame, parts: list[Part]) -> DataFrame:
+    """``whole``, the union of ``parts``, which :func:`holding` then chooses from. What is made of ``whole`` in other ways is a plain DataFrame again."""
+    _parts[whole] = parts
+    return whole
+
+
+def parts_of(quads: DataFrame) -> list[Part] | None:
+    return _parts.get(quads)
+
+
+def holding(quads: DataFrame, predicates: list[str], o: str | None = None) -> DataFrame:
+    """The part of ``quads`` that can hold statements of ``predicates`` (and the object ``o``): all of them if nothing is known. It is left to Catalyst to filter that part."""
+    parts = _parts.get(quads)
+    chosen = [x.rows for x in parts or [] if x.p is None or x.p in predicates and (o is None or x.o is None or x.o == o)]
+    return reduce(DataFrame.unionByName, chosen) if chosen else quads
+
+
 @dataclass(frozen=True)
 class Term:
     """An object under construction: a column and what it is."""
@@ -56,6 +87,18 @@ def key_of(o: Column, kind: Column, dt: Column, lang: Column) -> Column:
     return F.when(kind == "iri", o).otherwise(F.concat(F.lit('"'), o, F.lit('"'), tail))
 
 
+def known_key(o: Column, kind: str, datatype: str | None = None, lang: str | Column | None = None) -> Column:
+    """``o_key`` of an object whose kind is known beforehand: a plain expression, which patterns compare cheaply."""
+    if kind == "iri":
+        return o
+    tail = F.lit(literal_key("", datatype)[1:])
+    if isinstance(lang, Column):
+        tail = F.when(lang.isNotNull(), F.concat(F.lit('"@'), F.lower(lang))).otherwise(tail)
+    elif lang:
+        tail = F.lit(literal_key("", lang=lang)[1:])
+    return F.concat(F.lit('"'), o, tail)
+
+
 def is_literal(var: Column) -> Column:
     return var.startswith('"')
 
@@ -69,7 +112,8 @@ _LITERAL = r'(?s)^"(.*)"(?:@([A-Za-z0-9-]+)|\^\^(\S+))?$'
 
 def text(var: Column) -> Column:
     """STR(): the lexical form of a literal, an IRI as it is; null stays null."""
-    return F.when(is_literal(var), F.regexp_extract(var, _LITERAL, 1)).otherwise(var)
+    plain = is_literal(var) & var.endswith('"') & (F.length(var) > 1)
+    return F.when(plain, F.substr(var, F.lit(2), F.length(var) - 2)).when(is_literal(var), F.regexp_extract(var, _LITERAL, 1)).otherwise(var)
 
 
 def parts(var: Column) -> tuple[Column, Column, Column, Column]:

@@ -24,6 +24,35 @@ def test_author_forms():
     assert names.author_forms("Dune", "") == []
 
 
+#: Given name -> forms of "Dune", by the written rules.
+GRID = {
+    "ann": {"A1": "a", "B1": "ann"}, "Ann": {"A1": "a", "B1": "ann"}, "A.": {"A1": "a"}, "A. B.": {"A1": "a", "A2": "a b"}, "A.B.C.": {"A1": "a", "A2": "a b", "A3": "a b c"}, "ABC": {"A1": "a", "A2": "a b", "A3": "a b c"},
+    "ann bea": {"A1": "a", "A2": "a b", "B1": "ann", "B2": "ann b", "C1": "ann bea"},
+    "ann bea cy": {"A1": "a", "A2": "a b", "A3": "a b c", "B1": "ann", "B2": "ann b", "B3": "ann b c", "C1": "ann bea", "C2": "ann bea c", "C3": "ann bea cy"},
+    "ann B.": {"A1": "a", "A2": "a b", "B1": "ann", "B2": "ann b"}, "A. bea": {"A1": "b", "A2": "a b", "B1": "bea", "B2": "a bea"},
+    "ann B. C.": {"A1": "a", "A2": "a b", "A3": "a b c", "B1": "ann", "B2": "ann b", "B3": "ann b c"},
+    "ann B. cy": {"A1": "a b", "A2": "a b c", "A3": "a b c", "B1": "ann b", "B2": "ann b c", "B3": "ann b c", "C1": "ann b cy", "C2": "ann b cy"},
+    "J-P": {"A1": "j"}, "j-p": {"A1": "j", "B1": "j-p"}, "": {}, " . ": {},
+}
+
+
+@pytest.mark.parametrize("given", sorted(GRID))
+def test_author_forms_by_rule(given):
+    found = [(level, value) for level, value in names.author_forms("Dune", given) if level[0] != "R"]
+    wanted = {(level, f"dune, {value}") for level, value in GRID[given].items()}
+    if "-" in given:
+        wanted |= {("A1", "dune, j"), ("A2", "dune, j p")} | ({("B1", "dune, j"), ("B2", "dune, j p"), ("C1", "dune, j p")} if given.islower() else set())
+    assert set(found) == wanted and len(found) == len(set(found))
+
+
+def test_reversed_forms():
+    forms = lambda f, g: {x for x in names.author_forms(f, g) if x[0][0] == "R"}
+    assert forms("Dune", "Ann Bea") == {("RB1", "annbea, dune")}
+    assert forms("Dune Low", "Ann") == {("RB1", "ann, dune"), ("RB1", "anndune, low")}
+    assert forms("du la Ro", "a be ce") == {("RB1", "abece, du"), ("RC1", "abece, du la"), ("RC3", "abece, du la ro"), ("RB1", "abecedu, la"), ("RC1", "abecedu, la ro")}
+    assert forms("Dune", "Ann B.") == set()
+
+
 def column(spark, value, f):
     return spark.createDataFrame([(value,)], "x string").select(f(F.col("x")).alias("y")).first()["y"]
 
@@ -45,8 +74,9 @@ def test_strings(spark):
 @pytest.mark.parametrize(
     ("label", "form", "short"),
     [
-        ("ABC", "", "ABC"), ("Institute for the Study of Wheat", "institute study wheat", ""), ("Food & Farm (FAF)", "food and farm", "FAF"), ("ABC-Institute of Farms", "institute farms", "ABC"),
-        ("Centre de Génétique", "centre de gntique", ""), ("Farm (north)", "farm north", ""), ("", "", ""),
+        ("ABC", "abc", "ABC"), ("(ABC)", "", "ABC"), ("A.B.C.", "abc", "A.B.C."), ("Institute for the Study of Wheat", "institute study wheat", None), ("Food & Farm (FAF)", "food and farm", "FAF"), ("R&D Institute", "rd institute", None),
+        ("ABC-Institute of Farms", "institute farms", "ABC"), ("BMGF-Bill and Melinda (BMG)", "bill and melinda", "BMGF BMG"), ("ABC-DEF of Farms", "abcdef farms", None), ("ABC-FARM", "abcfarm", None), ("ABC-farm", "farm", "ABC"),
+        ("Centre de Génétique", "centre de gntique", None), ("Farm (north)", "farm north", None), ("Farm (N.O.)  ", "farm", "NO"), ("ABCDEFGHIJ", "abcdefghij", None), ("&", "and", None), ("", "", None), (" ", "", None), ("  ABC", "abc", None),
     ],
 )
 def test_organizations(spark, label, form, short):
@@ -56,4 +86,6 @@ def test_organizations(spark, label, form, short):
 
 def test_titles(spark):
     assert column(spark, "Wheat-Rust [Review] of Élan & Form", normal.title) == "wheat rust of elan and form"
+    assert column(spark, "R&D & [a] b-[c] &x Ạ̈́ Й \t& ", normal.title) == "r&d and b &x a и and"
+    assert column(spark, "", normal.title) == ""
     assert column(spark, None, normal.title) is None
