@@ -71,10 +71,15 @@ def name_part(quads: DataFrame, cls: str | None, predicate: str) -> DataFrame:
     return contact(quads, cls, HAS_NAME, predicate)
 
 
+def card_and_name(quads: DataFrame, predicate: str) -> DataFrame:
+    """Card and name node of x, where it has a part of a name."""
+    rows = match(quads, ("?x", CONTACT, "?card"), ("?card", HAS_NAME, "?n"), ("?n", predicate, "?v"))
+    return bind(rows, value=F.concat_ws("|", "card", "n")).select("x", "value").distinct()
+
+
 def shared_card_name(quads: DataFrame, predicate: str) -> DataFrame:
     """Pairs that have one and the same card and name node, the strict reading of the name atom."""
-    rows = match(quads, ("?x", CONTACT, "?card"), ("?card", HAS_NAME, "?n"), ("?n", predicate, "?v"))
-    return same_value(bind(rows, value=F.concat_ws("|", "card", "n")).select("x", "value").distinct())
+    return same_value(card_and_name(quads, predicate))
 
 
 def same_rank_authors(quads: DataFrame, roots: DataFrame, different: DataFrame | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quadrille import terms
-from quadrille.functions import names, normal, scalars
+from quadrille.functions import normal, scalars
 from quadrille.operators import atoms, derive, publish, resolve, rewrite, select
 from quadrille.operators.lift import Field, lift
 from quadrille.plans import patterns as P
@@ -507,34 +507,6 @@ def org_normal_form(spark, sf_dir):
     return rows.select(F.col("p_partkey").alias("x"), normal.organization(label).alias("n")).select("x", "n.form", "n.abbreviation")
 
 
-_FORMS = """
-WITH n AS (SELECT p_partkey AS x, string_split(p_name, ' ')[1] AS given, string_split(p_name, ' ')[2] AS family FROM part),
-f AS (SELECT x, 'A1' AS level, family || ', ' || substr(given, 1, 1) AS value FROM n
-      UNION ALL SELECT x, 'B1', family || ', ' || given FROM n
-      UNION ALL SELECT x, 'RB1', given || ', ' || family FROM n)
-"""
-
-
-def _authors(spark, sf_dir) -> DataFrame:
-    words = F.split("p_name", " ")
-    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("x"), F.get(words, 1).alias("family"), F.get(words, 0).alias("given"))
-
-
-@query(_FORMS + "SELECT x, level, value FROM f")
-def author_normal_forms(spark, sf_dir):
-    people = _authors(spark, sf_dir)
-    keyed = people.select("x", F.md5(F.concat("family", F.lit(", "), "given")).alias("node"))
-    return keyed.join(names.forms_of(people), "node").select("x", "level", "value")
-
-
-@query("SELECT a.p_partkey AS x, b.p_partkey AS y FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_partkey <> b.p_partkey")
-def name_ladder(spark, sf_dir):
-    """Parts as authors: 'given family'. Nodes have the levels A1, B1 and RB1, so B1 is the step where they meet."""
-    people = _authors(spark, sf_dir)
-    holders = people.select("x", F.md5(F.concat("family", F.lit(", "), "given")).alias("node"))
-    return resolve.name_ladder(holders, names.forms_of(people))
-
-
 @query("SELECT count(*) AS pairs, count(DISTINCT x) AS resources, count(*) >= 128 AND count(*) >= count(DISTINCT x) * count(DISTINCT x) / 2 AS suspicious FROM (" + _PAIRS + "a.p_name = b.p_name AND a.p_size = b.p_size AND a.p_brand = b.p_brand)")
 def suspicious_result(spark, sf_dir):
     return resolve.suspicious(resolve.same_value(_name_size(spark, sf_dir)))

@@ -35,7 +35,7 @@ _NODES = "record string, node string, parent string, name string, position int,
 
 
 def _xml_nodes(record: str, source: str | None) -> Iterator[tuple]:
-    """(record, node, parent, name, position, value) of elements with text or children, and attributes; nodes are paths. A source that doesn't parse gives nothing."""
+    """(record, node, parent, name, position, value) of elements with text or children, and attributes; nodes are paths. A source that doesn't parse gives nothing. Depth is not limited."""
     if not source:
         return
     try:
@@ -43,16 +43,17 @@ def _xml_nodes(record: str, source: str | None) -> Iterator[tuple]:
     except ET.ParseError:
         return
 
-    def filled(e) -> bool:
-        return bool((e.text or "").strip() or e.attrib or any(filled(c) for c in e))
+    filled: dict[ET.Element, bool] = {}
+    for e in reversed(list(root.iter())):  # children before parents, however deep
+        filled[e] = bool((e.text or "").strip() or e.attrib or any(filled[c] for c in e))
 
     stack = [(root, "0", None, 1)]
     while stack:
         e, path, parent, position = stack.pop()
-        if not filled(e):
+        if not filled[e]:
             continue
         name = e.tag.rsplit("}", 1)[-1]
-        children = [c for c in e if filled(c)]
+        children = [c for c in e if filled[c]]
         leaf = not children and not e.attrib
         yield record, path, parent, name, position, e.text.strip() if leaf or (e.text or "").strip() else None
         for k, v in sorted(e.attrib.items()):
@@ -66,7 +67,7 @@ def _json_nodes(record: str, source: str | None) -> Iterator[tuple]:
         return
     try:
         top = json.loads(source)
-    except ValueError:
+    except (ValueError, RecursionError):  # not JSON, or nested deeper than the parser goes
         return
     stack = [(top, "0", None, "record", 1)]
     while stack:
@@ -124,8 +125,8 @@ def write_ntriples(quads: DataFrame, path: str) -> None:
 
 
 def read_ntriples(spark: SparkSession, path: str, graph: str | None = None) -> DataFrame:
-    """Statements of N-Triples files; lines that aren't statements are left out."""
-    line = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*$'
+    """Statements of N-Triples files; lines that aren't statements are left out. A literal ends at the last quote of its line, so that long ones need no recursion in the pattern."""
+    line = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"(.*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*$'
     part = [F.regexp_extract("value", line, k) for k in range(7)]
     back = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(part[4], r"\\\\", "\u0000"), r"\\n", "\n"), r"\\r", "\r"), r'\\"', '"'), "\u0000", r"\\")
     rows = spark.read.text(path).where(part[0] != "").select(
