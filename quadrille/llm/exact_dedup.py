@@ -49,7 +49,7 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z. ``keep`` says whether the
-    smallest or the largest id of a group stays ("min", "max").
+    smallest or the largest id of a group stays ("min", "max"); ids may be of any type that has an order.
 
     Defined cases: null text counts as empty, and all empty texts are one group. A null id never wins
     over another id; a group of null ids only has keep_id null. Rows that repeat id and text
@@ -58,17 +58,18 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is min or max")
-    sign = F.lit(-1 if keep == "min" else 1)
+    best_of = F.min if keep == "min" else F.max
+    here = F.col("doc_id").isNull() if keep == "min" else F.col("doc_id").isNotNull()  # a null id never wins
     rows = digests(docs, id_col, text_col)
     level = (
         rows.withColumn("block", F.col("run"))
         .groupBy(*KEY, "block")
-        .agg(F.max(F.struct((F.col("doc_id") * sign).alias("rank"), "row")).alias("best"), F.count(F.lit(1)).alias("group_size"))
+        .agg(best_of(F.struct(here.alias("here"), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size"))
     )
     levels = [common.written(level, "run-0")]
     for _ in range(0, RUN_BITS, MERGE_BITS):
         up = levels[-1].withColumn("block", F.shiftright("block", MERGE_BITS))
-        merged = up.groupBy(*KEY, "block").agg(F.max("best").alias("best"), F.sum("group_size").alias("group_size"))
+        merged = up.groupBy(*KEY, "block").agg(best_of("best").alias("best"), F.sum("group_size").alias("group_size"))
         levels.append(common.written(merged, f"run-{len(levels)}"))
     best = levels[-1].where("group_size > 1").drop("block")
     for below, step in zip(reversed(levels[:-1]), [RUN_BITS, *[MERGE_BITS] * len(levels)], strict=False):
@@ -81,7 +82,7 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = F.col("group_size").isNull()
     return found.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise((F.col("best.rank") * sign).cast(rows.schema["doc_id"].dataType)).alias("keep_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (alone | (F.col("best.row") == F.col("row"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
@@ -89,19 +90,14 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are.
+    """The rows of ``docs`` that stay, all columns as they are: one of each group of equal texts, a row that :func:`find_copies` keeps.
 
-    A row goes if its id was found a copy. Rows that repeat an id and a text are copies of each
-    other under one id; of those one stays.
+    That goes for rows without id and for rows that repeat an id, too: of several that agree in id and text, one stays, and texts of one id
+    that differ are judged one by one.
     """
-    found = common.written(find_copies(docs, id_col, text_col, keep).select("doc_id", "kept"), "copies")
-    counted = common.written(found.groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("times")).where("not stays or times > 1"), "copied-ids")
-    rest = common.without_ids(docs, counted.where("not stays").select("doc_id"), id_col)
-    twice = counted.where("stays and times > 1 and doc_id is not null").select("doc_id")
-    if twice.isEmpty():
-        return rest
-    again = docs.join(twice.withColumnRenamed("doc_id", "__twice"), docs[id_col] == F.col("__twice"), "left_semi")
-    return common.without_ids(rest, twice, id_col).unionByName(again.dropDuplicates([id_col, text_col]))
+    found = common.written(find_copies(docs, id_col, text_col, keep).select("doc_id", F.col("text_sha256").alias("key"), "kept"), "copies")
+    text = common.lower_ascii(F.coalesce(docs[text_col], F.lit("")))
+    return common.rows_that_stay(docs, found, F.sha2(text, 256), id_col, one=True)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
