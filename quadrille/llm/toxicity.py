@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -139,11 +140,16 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
-    """A model of ``labels`` whose fold isn't 0. At most ``max_rows`` ids are drawn, and broadcast to find their texts; one task fits on those, and the driver gets the non-zero weights."""
-    usable = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("label")).where(F.col("label").isin(0, 1) & (fold(F.col("doc_id")) != 0))
+    """A model of ``labels`` whose fold isn't 0. At most ``max_rows`` rows of labels are drawn, and their ids broadcast to find the texts; one task fits on those, and the driver gets the non-zero weights.
+
+    Of rows that repeat a drawn id, one text counts, that of least hash, so the task gets no more rows than were drawn. Rows without id, labels other than 0 and 1, and labels without
+    a row are left out; an id with both labels counts once with each.
+    """
+    usable = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("label")).where(F.col("label").isin(0, 1) & (fold(F.col("doc_id")) != 0)).distinct()
     drawn = [usable.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k) for y, k in ((1, max_rows // 4), (0, max_rows - max_rows // 4))]
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
-    found = common.ids_and_text(docs, id_col, text_col).join(ids, "doc_id").select("doc_id", "label", "text")
+    found = common.ids_and_text(docs, id_col, text_col).join(ids, "doc_id")
+    found = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")).select("doc_id", "label", "one.text")
     row = found.repartition(1).mapInArrow(_train, _MODEL).first()
     if row is None:  # Spark leaves the task out if it knows that there are no rows
         return ftrl([])
@@ -160,25 +166,38 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, model = common.worker_state("toxicity", Features), shared.value
-        w = model.dense()
+        judge = _judge(shared)
         for batch in batches:
             for part, texts in bpe.slices(batch, "text"):
-                scores = []
-                for x in texts:
-                    at = features.of(x)
-                    at = np.unique(at[w[at] != 0])
-                    scores.append(1 / (1 + math.exp(-max(-35.0, min(35.0, model.bias + float(w[at].sum(dtype=np.float64)))))))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(judge, texts), pa.float64())], names=["doc_id", "score"])
 
     scored = rows.mapInArrow(run, schema)
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model doesn't predict toxic, all columns as they are. An id goes if one of its rows does; rows without id stay."""
-    found = common.written(score(docs, model, id_col, text_col).where("predicted = 1").select("doc_id"), "toxic")
-    return common.without_ids(docs, found, id_col)
+def _judge(shared) -> Callable[[str], float]:
+    """The score of a text, in a worker."""
+    features, w, bias = common.worker_state("toxicity", Features), shared.value.dense(), shared.value.bias
+
+    def score_of(text: str) -> float:
+        at = features.of(text)
+        at = np.unique(at[w[at] != 0])
+        return 1 / (1 + math.exp(-max(-35.0, min(35.0, bias + float(w[at].sum(dtype=np.float64))))))
+
+    return score_of
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model doesn't predict toxic, all columns as they are. Each row is judged by its own text, whatever its id; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.BooleanType())
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        judge = _judge(shared)
+        for texts in batches:
+            yield texts.map(lambda x: judge(x or "") >= 0.5).astype(bool)
+
+    return docs.where(~toxic(F.coalesce(docs[text_col], F.lit(""))))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
