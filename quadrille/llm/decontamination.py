@@ -1,7 +1,7 @@
 """Benchmark decontamination: documents scanned for the n-grams of benchmark items.
 
 The windows of the items (``n`` words, or the whole item if it has fewer) form the query set. It is
-cut into blocks of at most ``block_windows`` windows, and each block is broadcast: the vocabulary of its words, a sorted array of
+cut into blocks of at most ``block_windows`` windows, counted once for each item that has them, and ``BLOCK_BYTES`` bytes of different words, and each block is broadcast: the vocabulary of its words, a sorted array of
 window hashes and the windows themselves. Each block scans all documents; a benchmark of the usual size is one block, and a larger one
 costs further scans, not more memory.
 
@@ -28,8 +28,8 @@ from quadrille.llm import bpe, common
 #: A word: digits, A-Z, a-z and everything beyond ASCII. Fixed value of the contract.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 N = 10
-#: Windows of one broadcast block; with ids and words about 200 bytes each, so 100 MB at most.
-BLOCK_WINDOWS = 500_000
+#: Pairs of window and item in one broadcast block, about 200 bytes each, so 100 MB at most; and bytes of its words. A window that is longer by itself is a block.
+BLOCK_WINDOWS, BLOCK_BYTES = 500_000, 64 << 20
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _WORDS = re.compile(WORD)
@@ -98,17 +98,23 @@ def rolling(ids: np.ndarray, length: int, starts: np.ndarray | None = None) -> n
 
 
 def blocks(items: DataFrame, n: int = N, id_col: str = "item_id", text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> Iterator[Block]:
-    """The query set of ``items``, in blocks; the driver holds one block at a time."""
+    """The query set of ``items``, in blocks; the driver holds one block at a time. A window that very many items have is in several blocks, each with some of them."""
     windows: dict[tuple[str, ...], list] = {}
+    seen: set[str] = set()
+    pairs = size = 0
     for item, text in items.select(items[id_col].alias("item_id"), items[text_col].alias("text")).toLocalIterator():
         words = words_of(text)
         for k in range(max(1, len(words) - n + 1) if words else 0):
-            own = windows.setdefault(tuple(words[k : k + n]), [])
+            window = words[k : k + n]
+            own = windows.setdefault(tuple(window), [])
             if not own or own[-1] != item:
                 own.append(item)
-            if len(windows) >= block_windows:
+                pairs += 1
+                size += sum(4 * len(w) for w in set(window) - seen)
+                seen.update(window)
+            if pairs >= block_windows or size >= BLOCK_BYTES:
                 yield Block(windows)
-                windows = {}
+                windows, seen, pairs, size = {}, set(), 0, 0
     if windows:
         yield Block(windows)
 
@@ -175,13 +181,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_sort("items").alias("items"), "spans", (F.size("spans") > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a hit, all columns as they are. A hit in one of the rows that repeat an id drops them all; rows without id stay."""
-    found = common.written(find_contamination(docs, benchmark, n, id_col, text_col, item_col, item_text_col).where("contaminated").select("doc_id"), "contaminated")
-    return common.without_ids(docs, found, id_col)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` without a hit, all columns as they are. Each row is judged by its own text, whatever its id; nothing is shuffled, and a row that a block hits isn't looked up in the next ones."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    for block in blocks(benchmark, n, item_col, item_text_col, block_windows):
+        docs = docs.where(F.size(_spotter(docs.sparkSession.sparkContext.broadcast(block), 1)(text, F.array().cast(_SPANS))) == 0)
+    return docs
+
 
+def _spotter(shared, most: int | None = None):
+    """Spans of a block's windows in texts, merged with those known; ``most``: no more than so many windows are looked for."""
 
-def _spotter(shared):
     @F.pandas_udf(_SPANS)
     def spot(texts: pd.Series, spans: pd.Series) -> pd.Series:
         block = shared.value
@@ -189,7 +199,7 @@ def _spotter(shared):
         def one(text: str | None, known) -> list[dict]:
             words = words_of(text)
             ids = np.fromiter((block.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-            hits = [(start, length) for start, length, _ in block.hits(ids)]
+            hits = [(start, length) for start, length, _ in itertools.islice(block.hits(ids), most)]
             return [{"start": a, "length": n} for a, n in merged([*((x["start"], x["length"]) for x in known), *hits])]
 
         return pd.Series(list(map(one, texts, spans)), index=texts.index, dtype=object)
