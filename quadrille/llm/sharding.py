@@ -87,17 +87,27 @@ def assign_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str = "tex
 
 
 def write_shards(docs: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text", max_shard_bytes: int = MAX_SHARD_BYTES) -> DataFrame:
-    """Writes ``docs`` as Parquet under ``path``/shard=..., a folder per shard; returns the directory: shard, depth, shard_bytes, shard_rows, oversized."""
+    """Writes ``docs``, all columns as they are, as Parquet under ``path``/shard_bits=b..., a folder per shard ('b' and the bits); returns the directory: shard, depth, shard_bytes, shard_rows, oversized.
+
+    If ``docs`` has a column ``shard_bits``, the folders' name gets '_' before it until no column has it. A shard is written by one task, an oversized one by as many as it has limits. Null keys are one
+    key, and rows of one key are in one folder. An empty table writes no shards.
+    """
     placed = common.written(assign_shards(docs, key_col, text_col, max_shard_bytes), "placed")
     directory = common.written(placed.select("shard", "depth", "shard_bytes", "shard_rows", "oversized").distinct(), "shards")
-    at = placed.select(F.col("doc_id").alias("__key"), F.col("shard").alias("__shard")).distinct()
-    rows = docs.join(at, docs[key_col].eqNullSafe(at["__key"])).drop("__key").withColumn("__shard", F.concat(F.lit("b"), "__shard")).withColumnRenamed("__shard", "shard_bits")
-    rows.repartition("shard_bits").write.partitionBy("shard_bits").parquet(path)
+    bits, piece, key = common.fresh(docs, "shard_bits"), common.fresh(docs, "shard_piece"), common.fresh(docs, "shard_key")
+    pieces = F.ceil(F.col("shard_bytes") / max_shard_bytes)
+    at = placed.groupBy(F.col("doc_id").alias(key)).agg(F.concat(F.lit("b"), F.first("shard")).alias(bits), F.greatest(F.lit(1), F.first(pieces)).alias(piece))
+    rows = docs.join(at, docs[key_col].eqNullSafe(at[key])).drop(key).withColumn(piece, F.pmod(F.monotonically_increasing_id(), F.col(piece)))
+    rows.repartition(bits, piece).drop(piece).write.partitionBy(bits).parquet(path)
     return directory
 
 
+#: The query's limit: small enough that the smallest tables are split, too.
+QUERY_SHARD_BYTES = 1 << 20
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_shards(common.table(spark, sf_dir, "documents"))
+    return assign_shards(common.table(spark, sf_dir, "documents"), max_shard_bytes=QUERY_SHARD_BYTES)
 
 
 OP8_SQL = f"""
@@ -113,7 +123,7 @@ sums AS (
     FROM rows CROSS JOIN depths),
 placed AS (
     SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS nth
-    FROM sums WHERE shard_bytes <= {MAX_SHARD_BYTES})
+    FROM sums WHERE shard_bytes <= {QUERY_SHARD_BYTES})
 SELECT doc_id, n_bytes,
        CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(h >> (60 - depth)), 64, '0'), CAST(depth AS INTEGER)) END AS shard,
        CAST(depth AS INTEGER) AS depth, shard_bytes, shard_rows, false AS oversized
