@@ -107,6 +107,24 @@ def _rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"{path} could not become {to}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _at(spark, path)
+    return fs.exists(at)
+
+
+def shared_copy(spark: SparkSession, local: str, name: str) -> str:
+    """A file of the driver as a file of the shared folder; :func:`release` deletes it. Returns its path there, which is complete once it exists."""
+    path = f"{_root(spark)}/files/{name}"
+    part = f"{path}-{uuid.uuid4().hex}"
+    fs, at = _at(spark, part)
+    fs.copyFromLocalFile(False, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path("file://" + local), at)
+    if exists(spark, path):
+        _delete(spark, part)
+    else:
+        _rename(spark, part, path)
+    return path
+
+
 def _names(spark: SparkSession, path: str) -> list[str]:
     """Folders under ``path``, without those that begin with '_' or '.'."""
     fs, at = _at(spark, path)
