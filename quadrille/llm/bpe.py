@@ -36,8 +36,8 @@ from quadrille.llm import common, lexicon
 SPACE = "\t-\r \x85\xa0  -     　"
 #: The contractions that split off. Fixed values of the tokenizer file's own pattern.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-#: A worker's cache is cut down beyond so many distinct entries (about 80 MB).
-CACHE_ENTRIES = 250_000
+#: A worker's cache is cut down beyond so many distinct entries (about 80 MB), and keeps none of more characters.
+CACHE_ENTRIES, CACHE_CHARS = 250_000, 64
 #: Texts of a batch are taken together up to so many characters.
 SLICE_CHARS = 2_000_000
 
@@ -240,15 +240,16 @@ _compiled: dict[tuple, str] = {}
 
 
 def ship(spark: SparkSession, tokenizer_path: str, frequent_words: Iterable[str] = ()) -> str:
-    """Compiles the tokenizer and hands the file to Spark, which brings it to every executor, also to later ones. Returns its name there."""
+    """Compiles the tokenizer into the shared folder and hands the file to Spark, which brings it to every executor, also to later ones. Returns its name there."""
     words = tuple(sorted(set(frequent_words)))
-    key = (os.path.realpath(tokenizer_path), words)
-    if not os.path.exists(_compiled.get(key, "")):
+    key = (os.path.realpath(tokenizer_path), words, spark.sparkContext.applicationId)
+    if key not in _compiled or not common.exists(spark, _compiled[key]):
         arrays = compile_tokenizer(tokenizer_path, words)
         digest = hashlib.sha256(b"".join(a.tobytes() for a in arrays.values())).hexdigest()[:16]
-        _compiled[key] = os.path.join(os.path.realpath(tempfile.mkdtemp()), f"lexicon-{digest}.bin")
-        lexicon.save(_compiled[key], arrays)
-    spark.sparkContext.addFile("file://" + _compiled[key])
+        with tempfile.NamedTemporaryFile(suffix=".bin") as local:  # of the driver, gone at the end of this block
+            lexicon.save(local.name, arrays)
+            _compiled[key] = common.shared_copy(spark, local.name, f"lexicon-{digest}.bin")
+    spark.sparkContext.addFile(_compiled[key])
     return os.path.basename(_compiled[key])
 
 
@@ -313,7 +314,11 @@ class WordBpe:
             self.known = {y: self.known[y] for y in seen if y in self.known}
         self.learn(new)
         known = self.known
-        return [" ".join(filter(None, [str(self.special[y]) if isinstance(y, str) else " ".join(filter(None, map(known.__getitem__, y))) for y in parts])) for parts in split]
+        out = [" ".join(filter(None, [str(self.special[y]) if isinstance(y, str) else " ".join(filter(None, map(known.__getitem__, y))) for y in parts])) for parts in split]
+        for y in new:
+            if len(y) > CACHE_CHARS:
+                del known[y]
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokenizer has no decoder: the strings of the ids joined by one space. Ids that it lacks are left out."""

@@ -8,9 +8,9 @@ from typing import TypeVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.store import drop, release, scratch, shared_dir, written
+from quadrille.store import drop, exists, release, scratch, shared_copy, shared_dir, written
 
-__all__ = ["MAX_BROADCAST_BYTES", "MAX_BROADCAST_IDS", "drop", "fresh", "ids_and_text", "lower_ascii", "release", "rows_that_stay", "scratch", "shared_dir", "small", "table", "without_ids", "worker_state", "written"]
+__all__ = ["MAX_BROADCAST_BYTES", "MAX_BROADCAST_IDS", "drop", "exists", "fresh", "ids_and_text", "lower_ascii", "release", "rows_that_stay", "scratch", "shared_copy", "shared_dir", "small", "table", "without_ids", "worker_state", "written"]
 
 #: A set of ids is broadcast only up to this many rows, and if they are text up to this many bytes; beyond it the join shuffles.
 MAX_BROADCAST_IDS, MAX_BROADCAST_BYTES = 1_000_000, 32 << 20
