@@ -1,16 +1,18 @@
 """Token counts by a two-tier lookup on the map side; nothing is shuffled.
 
 A text falls into *pieces* at white space: a run of other characters with at most one space before it, or white
-space. No pre-token of a byte-level tokenizer crosses a piece, so a text has as many tokens as its pieces together.
+space. No pre-token of a byte-level tokenizer crosses a piece, and the tokenizer's own splitter cuts a piece into its pre-tokens.
 
-First tier: a compact hash table of the token counts of frequent pieces, made on the driver from the
-tokenizer's vocabulary (and words given) and broadcast. It has one slot array, the pieces' bytes and a byte
-per count, and compares the bytes of a piece, so a hit is exact. Its entries are bounded by ``max_frequent``.
-Second tier: a cache in each Python worker; pieces that neither has are encoded by the tokenizer itself.
+First tier: a compact hash table of the token counts of frequent pre-tokens, made on the driver from the
+tokenizer's vocabulary (and words given) and broadcast. It has one slot array, the pre-tokens' bytes and a byte
+per count, and compares the bytes of a pre-token, so a hit is exact. Its entries are bounded by ``max_frequent``.
+Second tier: caches in each Python worker, of pre-tokens that the table lacks, which the tokenizer's model encodes, and of the sums of pieces, so that a piece that
+comes again isn't split again. Every piece goes this way. Caches are bounded in entries and in the length of an entry.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -25,8 +27,8 @@ from pyspark.sql import types as T
 from quadrille.llm import bpe, common
 
 MAX_FREQUENT = 200_000
-#: A worker's cache is cut down beyond so many pieces.
-CACHE_ENTRIES = 600_000
+#: A worker's caches are cut down beyond so many entries, and have none of more characters.
+CACHE_ENTRIES, CACHE_CHARS = 500_000, 64
 
 _S = bpe.SPACE
 PIECES = re.compile(f" ?[^{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
@@ -60,20 +62,20 @@ class Counts:
 
 
 def frequent_counts(tokenizer, words: Iterable[str] = (), max_frequent: int = MAX_FREQUENT) -> Counts:
-    """Counts of the vocabulary's pieces (each as the tokenizer encodes it) and of ``words`` with and without a space before them, ``max_frequent`` at most: the lowest ids, thus the most frequent, first."""
+    """Counts of the pre-tokens of the vocabulary and of ``words`` with and without a space before them, in the tokenizer's letters for bytes, ``max_frequent`` at most: the lowest ids, thus the most frequent, first."""
     byte_of = {c: b for b, c in enumerate(bpe.byte_letters())}
-    pieces: dict[str, None] = {}
+    split, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model
+    found: dict[str, None] = {}
     for piece, _ in sorted(tokenizer.get_vocab().items(), key=lambda x: x[1]):
         try:
             text = bytes(byte_of[c] for c in piece).decode()
         except (KeyError, UnicodeDecodeError):
             continue
-        if PIECES.fullmatch(text):
-            pieces[text] = None
-    pieces |= dict.fromkeys(p for w in words for p in (w, " " + w) if PIECES.fullmatch(p))
-    kept = list(pieces)[:max_frequent]
-    sizes = (len(e.ids) for e in tokenizer.encode_batch(kept, add_special_tokens=False))
-    return Counts({p: n for p, n in zip(kept, sizes, strict=True) if 0 < n < 256})
+        if [t for t, _ in split(text)] == [piece]:
+            found[piece] = None
+    found |= dict.fromkeys(t for w in words for p in (w, " " + w) for t, _ in split(p))
+    sizes = {t: len(model.tokenize(t)) for t in itertools.islice(found, max_frequent)}
+    return Counts({t: n for t, n in sizes.items() if 0 < n < 256})
 
 
 class Counter:
@@ -83,23 +85,30 @@ class Counter:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.frequent, self.known = Tokenizer.from_str(spec), frequent, {}
-        special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        tokenizer = Tokenizer.from_str(spec)
+        self.split, self.model, self.frequent = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model, frequent
+        self.spaced: dict[str, int] = {}  # what follows a space: the count of both
+        self.bare: dict[str, int] = {}  # other pieces
+        self.pretokens: dict[str, int] = {}
+        special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
-    def learn(self, words: list[str]) -> None:
-        """Puts the counts of words, each with a space before it, into the cache."""
-        pieces = [" " + w for w in words]
-        counts = list(map(self.frequent.get, pieces))
-        missing = [p for p, n in zip(pieces, counts, strict=True) if not n]
-        self.known.update((w, n) for w, n in zip(words, counts, strict=True) if n)
-        self.known.update((p[1:], n) for p, n in zip(missing, self.encoded(missing), strict=True))
+    def pretoken(self, token: str) -> int:
+        n = self.pretokens.get(token)
+        if n is None:
+            n = self.frequent.get(token) or len(self.model.tokenize(token))
+            if len(token) <= CACHE_CHARS:
+                self.pretokens[token] = n
+        return n
 
-    def encoded(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+    def learn(self, known: dict[str, int], pieces: Iterable[str], before: str = "") -> list[str]:
+        """Puts the counts of pieces into a cache; returns those that are too long to stay there."""
+        split, of = self.split, self.pretoken
+        known.update((p, sum([of(t) for t, _ in split(before + p)])) for p in pieces)
+        return [p for p in pieces if len(p) > CACHE_CHARS]
 
     def count(self, texts: list[str]) -> list[int]:
-        """Where no two spaces meet, text between spaces counts with the space before it and apart from the rest; other texts are encoded whole, in pieces."""
+        """Where no two spaces meet, text between spaces counts with the space before it and apart from the rest; other texts fall into pieces first."""
         totals, split = [0] * len(texts), []
         for k, x in enumerate(texts):
             parts = [x]
@@ -110,20 +119,27 @@ class Counter:
                 if "  " in part:
                     first, *rest = PIECES.findall(part)
                     spaced = [p[1:] for p in rest if p[0] == " " and p != " "]
-                    alone = [first, *(p for p in rest if p[0] != " " or p == " ")]
+                    bare = [first, *(p for p in rest if p[0] != " " or p == " ")]
                 else:
                     first, *spaced = part.split(" ")
-                    alone = [first] if first else []
-                split.append((k, alone, spaced))
-        odd = [p for _, alone, _ in split for p in alone]
-        seen = set().union(*(y for _, _, y in split))
-        new = [y for y in seen if y not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:  # what this slice has stays, most of it is frequent
-            self.known = {y: self.known[y] for y in seen if y in self.known}
-        self.learn(new)
-        get, alone_counts = self.known.__getitem__, iter(self.encoded(odd))
-        for k, alone, spaced in split:
-            totals[k] += sum(map(get, spaced)) + sum(next(alone_counts) for _ in alone)
+                    bare = [first] if first else []
+                split.append((k, bare, spaced))
+        if len(self.pretokens) > CACHE_ENTRIES:
+            self.pretokens.clear()
+        long: list[tuple[dict[str, int], list[str]]] = []
+        for name, place, before in (("bare", 1, ""), ("spaced", 2, " ")):
+            known, seen = getattr(self, name), set().union(*(x[place] for x in split))
+            new = [p for p in seen if p not in known]
+            if len(known) + len(new) > CACHE_ENTRIES:  # what this slice has stays, most of it is frequent
+                known = {p: known[p] for p in seen if p in known}
+                setattr(self, name, known)
+            long.append((known, self.learn(known, new, before)))
+        of_bare, of_spaced = self.bare.__getitem__, self.spaced.__getitem__
+        for k, bare, spaced in split:
+            totals[k] += sum(map(of_spaced, spaced)) + sum(map(of_bare, bare))
+        for known, pieces in long:
+            for p in pieces:
+                del known[p]
         return totals
 
 
@@ -132,15 +148,15 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     The whole text counts, as the tokenizers library encodes it with ``add_special_tokens=False``;
     strings of special tokens inside a text count as one token, as by its default. The tokenizer must be byte-level
-    BPE without normaliser. Null and empty texts have 0 bytes and 0 tokens. Other columns are not read.
+    BPE without normaliser and without a space put before texts. Null and empty texts have 0 bytes and 0 tokens. Other columns are not read.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    if tokenizer.normalizer is not None or type(tokenizer.pre_tokenizer).__name__ != "ByteLevel":
-        raise ValueError("a byte-level tokenizer without normaliser is needed")
+    if tokenizer.normalizer is not None or type(tokenizer.pre_tokenizer).__name__ != "ByteLevel" or tokenizer.pre_tokenizer.add_prefix_space:
+        raise ValueError("a byte-level tokenizer without normaliser and prefix space is needed")
     shared = docs.sparkSession.sparkContext.broadcast((tokenizer.to_str(), frequent_counts(tokenizer, frequent_words, max_frequent)))
     rows = common.ids_and_text(docs, id_col, text_col)
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
