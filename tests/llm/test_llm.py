@@ -173,6 +173,66 @@ def test_toxicity_on_held_out_rows(spark):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == ["2", "3", "None"]
 
 
+def plain_ftrl(rows, alpha=0.3, beta=1.0, l1=4.0, l2=0.1, epochs=3, seed=0):
+    """The written update rules, one coordinate after the other."""
+    import math
+
+    import numpy as np
+
+    z, n, ones = {}, {}, sum(y for _, y in rows)
+    bias, bias_n = math.log((ones + 1) / (len(rows) - ones + 1)), 0.0
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    order = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)):
+            places, y = rows[k]
+            places = sorted(set(places))
+            w = {i: weight(i) for i in places}
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, bias + sum(w.values())))))
+            g = p - y
+            for i in places:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+            bias_n += g * g
+            bias -= alpha / (beta + math.sqrt(bias_n)) * g
+    return {i: w for i in z if (w := weight(i))}, bias
+
+
+def plain_features(text):
+    """Words, their stems, neighbours and pairs with one word skipped, hashed one by one."""
+    import xxhash
+
+    mask, a, b, c = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    h = lambda w, seed=0: xxhash.xxh3_64_intdigest(w, seed)
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    out = {h(w) >> 44 for w in words} | {h(w[:k], k) >> 44 for w in words for k in toxicity.STEMS if len(w) >= k}
+    return out | {((h(x) * b & mask ^ h(y) * c & mask ^ step) * a & mask) >> 44 for step in (1, 2) for x, y in zip(words, words[step:], strict=False)}
+
+
+def test_toxicity_against_plain_ftrl(spark):
+    """Features, the fit and the scores, by the written rules."""
+    import math
+
+    rows = toxic_rows(240)
+    texts = [*(x for _, x, _ in rows), "", "one", "a B a b A", "Ärger straße 12 x_y"]
+    features = toxicity.Features()
+    assert all(set(features.of(x).tolist()) == plain_features(x) for x in texts)
+    docs = spark.createDataFrame([(k, x) for k, x, _ in rows] + [(900 + k, x) for k, x in enumerate(texts[-4:])], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int"))
+    learned = sorted((k, y, x) for k, x, y in rows if zlib.crc32(str(k).encode()) % 5)
+    weights, bias = plain_ftrl([(plain_features(x), y) for _, y, x in sorted(learned, key=lambda r: r[:2])])
+    assert dict(zip(model.places.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(weights, rel=1e-5) and model.bias == pytest.approx(bias)
+    for r in toxicity.score(docs, model).collect():
+        text = dict(docs.collect())[r["doc_id"]]
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-bias - sum(weights.get(i, 0.0) for i in plain_features(text)))), rel=1e-4)
+
+
 def test_toxicity_without_labels(spark):
     model = toxicity.fit(none(spark), spark.createDataFrame([], "doc_id long, toxic int"))
     assert [(r["predicted"], 0 <= r["score"] <= 1) for r in toxicity.score(frame(spark, [(1, ""), (2, None)]), model).collect()] == [(0, True)] * 2
@@ -272,6 +332,23 @@ def test_licenses(spark):
     assert [found[k]["license"] for k in sorted(texts)] == ["mit", None, None, None, "all-rights-reserved", None, "isc", "apache-2.0-header"]
     assert [m["license"] for m in found[8]["matches"]] == ["apache-2.0-header", "gpl-3.0", "apache-2.0-header"] and found[1]["dice"] == 1.0
     assert licenses.scan(none(spark)).count() == 0
+    for no in ({}, {"empty": "", "signs": "-- !"}):
+        assert [tuple(r)[1:] for r in licenses.scan(frame(spark, [(1, "MIT"), (2, None)]), templates=no).collect()] == [([], None, None, 0)] * 2
+
+
+def test_whole_licence_files(spark):
+    """Files of several lines and paragraphs, with a copyright line, other line breaks, and numbers before conditions."""
+    def wrapped(text, width):
+        words = text.split()
+        return "\n".join(" ".join(words[k : k + width]) for k in range(0, len(words), width))
+
+    full = [n for n in licenses.TEMPLATES if n.endswith("-text")]
+    docs = [(k, f"Copyright (c) 2020 Ann Dune\n\n{wrapped(licenses.TEMPLATES[n], 6 + k)}\n") for k, n in enumerate(full)]
+    docs += [(100, "Copyright 2021\n\n" + licenses.TEMPLATES["mit-text"].replace("subject to", "\n\nsubject to") + "\n\nThe end of it."), (101, licenses.TEMPLATES["mit-text"] + " ".join(f" prose{k} of another kind{k}" for k in range(99)))]
+    found = {r["doc_id"]: (r["license"], r["dice"]) for r in licenses.scan(frame(spark, docs)).collect()}
+    assert [found[k][0] for k in range(len(full))] == full and all(found[k][1] > 0.9 for k in range(len(full)))
+    assert found[100][0] in ("mit-text", "mit-permission") and found[101] == (None, None)
+    assert len(full) >= 8
 
 
 @pytest.mark.parametrize("threshold", [0.5, 0.8])
@@ -283,7 +360,7 @@ def test_licenses_against_brute_force(spark, threshold):
     sets = {n: set(licenses.bigrams(t)) for n, t in templates.items()}
     for k, text in texts:
         expected = []
-        for unit in dict.fromkeys([*text.split("\n"), *re.split("\n *\n", text)]):
+        for unit in dict.fromkeys(" ".join(x.split()) for x in [*text.split("\n"), *re.split("\n *\n", text), text]):
             grams = set(licenses.bigrams(unit))
             best = max(((2 * len(grams & s) / (len(grams) + len(s)), n) for n, s in sets.items()), key=lambda x: (x[0], [-ord(c) for c in x[1]])) if grams else (0, "")
             if best[0] >= threshold:
@@ -453,8 +530,12 @@ def test_components(spark):
 
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    toxic = {r["doc_id"] for r in toxicity.score(docs, model).collect() if r["predicted"]}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    learned = sorted((r["doc_id"], r["toxic"]) for r in labels if zlib.crc32(str(r["doc_id"]).encode()) % 5 and r["doc_id"] in texts)
+    weights, bias = plain_ftrl([(plain_features(texts[i]), y) for i, y in learned])
+    toxic = {i for i, x in texts.items() if bias + sum(weights.get(k, 0.0) for k in plain_features(x)) >= 0}
+    assert toxic
     left = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] not in toxic}
     groups = {}
     for i, x in left.items():
