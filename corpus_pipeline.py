@@ -1,7 +1,7 @@
 """The training-data pipeline: five stages over documents, each an operator of ``quadrille.llm``.
 
 Toxic documents go, then exact copies, then near copies but one of each group, then documents with benchmark passages; what is left is encoded.
-Each stage takes what the one before kept, as a Parquet table in the shared folder.
+Each stage takes what the one before kept, as a Parquet table in the shared folder, and judges rows by their own texts. A stage's tables are deleted once the next one's input is written.
 """
 
 from __future__ import annotations
@@ -56,5 +56,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with common.scratch(spark) as keep:
+            after = keep(common.written(stage(spark, docs, sf_dir), f"stage-{name}"))
+        common.drop(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
