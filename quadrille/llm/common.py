@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,5 +98,15 @@ def worker_state(key: Hashable, make: Callable[[], _T]) -> _T:
     """What an operator keeps between the batches and tasks of a Python worker (caches, tables). A worker keeps the state of one operator: the next one's takes its place, so memory doesn't add up over a pipeline."""
     if key not in _state:
         _state.clear()
+        _give_back()
         _state[key] = make()
     return _state[key]
+
+
+def _give_back() -> None:
+    """Returns what the last operator freed to the system; where that can't be asked for, nothing happens."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
