@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille import terms
-from quadrille.operators.rewrite import with_objects
+from quadrille.operators.rewrite import with_objects, without_bad_iris
 from quadrille.plans.patterns import bind, construct, match
-from quadrille.plans.rules import minus
+from quadrille.plans.rules import apply_rules, minus, until_stable
 from quadrille.sources.files import read_csv
 
 
@@ -74,6 +74,23 @@ def migrate(quads: DataFrame, changes: list[Change], classes: set[str], parents:
     return rows.dropDuplicates(list(terms.KEY))
 
 
+def update(quads: DataFrame, changes: list[Change], classes: set[str], parents: Mapping[str, str] | None = None, inverses: Mapping[str, str] | None = None, additions: Sequence = (), deletions: Sequence = (), post_additions: Sequence = (), post_deletions: Sequence = ()) -> DataFrame:
+    """The whole run: additions, deletions, the change list, and further additions and deletions after it.
+
+    Additions are rules or functions from statements to statements; what they add has good IRIs and is new. Deletions are functions that return the statements to delete, all reading the same statements.
+    An added class needs nothing.
+    """
+
+    def added(rows: DataFrame, rules: Sequence) -> DataFrame:
+        return apply_rules(rows, [lambda q, rule=rule: without_bad_iris(rule(q)) for rule in rules])
+
+    def deleted(rows: DataFrame, rules: Sequence) -> DataFrame:
+        return until_stable(rows, rules, 1) if rules else rows
+
+    rows = deleted(added(quads.dropDuplicates(list(terms.KEY)), additions), deletions)
+    return deleted(added(migrate(rows, changes, classes, parents, inverses), post_additions), post_deletions)
+
+
 def without_instances(quads: DataFrame, cls: str) -> DataFrame:
     """Drops the instances of a class: statements about them and those that point to them."""
     gone = quads.where((F.col("p") == terms.TYPE) & (F.col("o_key") == cls)).select("s").distinct()

@@ -86,3 +86,10 @@ def without_bad_iris(quads: DataFrame) -> DataFrame:
     """Drops statements with IRIs that have white space, quotes, braces or angle brackets, or no scheme."""
     good = r'^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>"{}|\\^`]*$'
     return quads.where(F.col("s").rlike(good) & F.col("p").rlike(good) & ((F.col("o_kind") != "iri") | F.col("o").rlike(good)))
+
+
+def rename_by_link(quads: DataFrame, predicate: str) -> DataFrame:
+    """Names resources that nothing points to by the address that ``predicate`` gives (an IRI or a text); of several the least."""
+    links = quads.where((F.col("o_kind") == "iri") & (F.col("p") != terms.TYPE)).select(F.col("o").alias("s")).distinct()
+    told = quads.where((F.col("p") == predicate) & (F.col("o") != "")).join(links, "s", "left_anti").groupBy("s").agg(F.min("o").alias("new"))
+    return rename(quads, told.select(F.col("s").alias("old"), "new"))

@@ -94,3 +94,21 @@ def rename_known(quads: DataFrame, names: DataFrame, dropped: tuple[str, ...] =
     rest = minus(quads, own)
     pointed = rest.where((F.col("p") == OBO + "ARG_2000028") & (F.col("o_kind") == "iri")).select(F.col("o").alias("s")).distinct()
     return rename(rest.join(cards.join(pointed, "s", "left_anti"), "s", "left_anti").select(*terms.SCHEMA.names), names)
+
+
+def describe(quads: DataFrame, entities: DataFrame, max_rounds: int = 40) -> DataFrame:
+    """All statements of ``entities`` (x), and of nodes without a name of their own that they point to, however deep."""
+    own = r"n[0-9a-f]{16}$"  # as terms.skolem names them
+    reached = new = written(entities.select(F.col("x").alias("s")).distinct(), "described")
+    for _ in range(max_rounds):
+        further = quads.join(new, "s", "left_semi").where((F.col("o_kind") == "iri") & F.col("o").rlike(own)).select(F.col("o").alias("s")).distinct()
+        new = written(further.join(reached, "s", "left_anti"), "described")
+        if new.isEmpty():
+            return quads.join(reached, "s", "left_semi").select(*terms.SCHEMA.names)
+        reached = reached.unionByName(new)
+    raise RuntimeError(f"nodes lead on after {max_rounds} rounds")
+
+
+def subjects(quads: DataFrame, cls: str | None = None) -> DataFrame:
+    """(x): the typed resources, or those of a class."""
+    return scan(quads, "?x", TYPE, cls or "?t").select("x").distinct()

@@ -67,3 +67,8 @@ def _met(quads: DataFrame, others: DataFrame, how: str) -> DataFrame:
     for c in terms.KEY[1:]:
         on = on & (quads[c] == others[f"__{c}"])
     return quads.join(others, on, how)
+
+
+def same_statements(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two sets of statements are equal."""
+    return minus(a, b).isEmpty() and minus(b, a).isEmpty()

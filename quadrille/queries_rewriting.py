@@ -11,6 +11,7 @@ from quadrille.functions import scalars
 from quadrille.operators import atoms, derive, publish, rewrite, select
 from quadrille.operators.lift import Field, lift
 from quadrille.operators.migrate import Change, migrate, without_instances
+from quadrille.plans import filters
 from quadrille.plans import patterns as P
 from quadrille.queries import _GRAPHS, _people
 from quadrille.registry import NS, iri, number, quads, query, read, told, v
@@ -176,3 +177,20 @@ def store_versions(spark, sf_dir):
     held.clean_up([named("BUILDING"), named("HOUSEHOLD"), named("MACHINERY")])
     newest = [held.latest(source) for source in held.sources()]
     return P.union(*newest).where(F.col("p") == LABEL).select("source", "version", "s", "o")
+
+
+@query("""
+WITH good AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'), people AS (SELECT DISTINCT c_custkey, c_nationkey FROM customer JOIN good ON o_custkey = c_custkey)
+SELECT 'order' AS kind, o_orderkey AS x FROM good JOIN customer ON o_custkey = c_custkey UNION ALL SELECT 'authorship', o_orderkey FROM good JOIN customer ON o_custkey = c_custkey UNION ALL SELECT 'customer', c_custkey FROM people UNION ALL SELECT 'position', c_custkey FROM people
+UNION ALL SELECT DISTINCT 'nation', c_nationkey FROM people""")
+def filter_irrelevant(spark, sf_dir):
+    """Orders are documents of customers, who hold positions in nations. Authorships of pending orders don't tell their document: they go, then what needed them, round after round."""
+    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    work = orders.select(iri("order", orders["o_orderkey"]).alias("d"), iri("authorship", orders["o_orderkey"]).alias("a"), iri("customer", orders["o_custkey"]).alias("x"), F.when(orders["o_orderstatus"] != "P", iri("order", orders["o_orderkey"])).alias("told"))
+    held = customers.select(iri("customer", customers["c_custkey"]).alias("x"), iri("position", customers["c_custkey"]).alias("p"), iri("nation", customers["c_nationkey"]).alias("n"))
+    q = P.union(
+        P.construct(work, ("?d", TYPE, BIBO + "Document"), ("?a", TYPE, VIVO + "Authorship"), ("?a", VIVO + "relates", "?x"), ("?x", VIVO + "relatedBy", "?a"), ("?a", VIVO + "relates", "?told"), ("?d", VIVO + "relatedBy", "?a"), branches=True),
+        P.construct(held, ("?x", TYPE, FOAF + "Person"), ("?p", TYPE, VIVO + "Position"), ("?p", VIVO + "relates", "?x"), ("?p", VIVO + "relates", "?n"), ("?x", VIVO + "relatedBy", "?p"), ("?n", VIVO + "relatedBy", "?p"), branches=True),
+        P.construct(held.select("n").distinct(), ("?n", TYPE, FOAF + "Organization"), branches=True),
+    )
+    return select.subjects(filters.relevant_part(q)).select(F.regexp_extract("x", "/([a-z]+)/[0-9]+$", 1).alias("kind"), number("x"))

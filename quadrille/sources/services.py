@@ -7,6 +7,7 @@ import itertools
 import re
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
 import zipfile
 import xml.etree.ElementTree as ET
@@ -21,19 +22,99 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
-def fetch(url: str, spacing: float = 0.125, retries: int = 10, wait: float = 4.0, get: Callable[[str], str] | None = None) -> str:
-    """The body of a URL, no sooner than ``spacing`` seconds later; a failure is tried again after 2, then ``wait`` seconds."""
+#: Answers that may be better later: time-outs, too many requests, trouble of the server. Others are final.
+PASSING = frozenset([408, 425, 429, *range(500, 600)])
+
+
+def fetch(url: str, spacing: float = 0.125, retries: int = 10, wait: float = 4.0, get: Callable[[str], str] | None = None, body: str | None = None) -> str:
+    """The answer of a URL, no sooner than ``spacing`` seconds later; with ``body`` it is sent there (POST). A failure that may pass is tried again after 2, then ``wait`` seconds; others, such as 404, are raised at once."""
     time.sleep(spacing)
     for attempt in range(retries + 1):
         try:
-            return get(url) if get else urllib.request.urlopen(url, timeout=60).read().decode()
-        except (urllib.error.URLError, TimeoutError):
-            if attempt == retries:
+            return get(url) if get else urllib.request.urlopen(url, None if body is None else body.encode(), timeout=60).read().decode()
+        except (urllib.error.URLError, TimeoutError) as e:
+            if attempt == retries or isinstance(e, urllib.error.HTTPError) and e.code not in PASSING:
                 raise
             time.sleep(wait if attempt else 2.0)
     raise AssertionError("unreachable")
 
 
+def next_token(token: str, step: int) -> str | None:
+    """The token after one of the form 'id!cursor!...', ``step`` records further; none for others."""
+    head, cursor, *rest = [*token.split("!"), ""]
+    return "!".join([head, str(int(cursor) + step), *rest[:-1]]) if cursor.isdigit() else None
+
+
+def token_pages(url: str, token_url: str, pattern: str, step: int = 0, limit: int | None = None, get: Callable[[str], str] | None = None, **how) -> Iterator[tuple[int, str | None, str | None]]:
+    """(page, token, body) of a service whose pages name the next one's token, in the first group of ``pattern``; it goes to '{token}' of ``token_url``.
+
+    A page that can't be read has no body; with ``step`` the token after it is guessed (:func:`next_token`), else the pages end there with the error. ``limit`` ends after so many pages.
+    """
+    token: str | None = None
+    for page in itertools.count():
+        if limit is not None and page >= limit:
+            return
+        try:
+            body = fetch(url if token is None else token_url.replace("{token}", urllib.parse.quote(token)), get=get, **how)
+        except OSError:
+            after = next_token(token, step) if token and step else None
+            if after is None:
+                raise
+            yield page, token, None
+            token = after
+            continue
+        yield page, token, body
+        found = re.search(pattern, body)
+        if not found or not found[1].strip():
+            return
+        token = found[1].strip()
+
+
+class TokenSource(DataSource):
+    """``spark.read.format("tokens")``: pages that name the next one, one after the other in one task, as each is known only from the one before. Options: url, token_url, pattern, step, limit, spacing, retries. Rows: page, token, body."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tokens"
+
+    def schema(self) -> str:
+        return "page int, token string, body string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _TokenReader(self.options)
+
+
+class _TokenReader(DataSourceReader):
+    def __init__(self, options):
+        self.options = dict(options)
+
+    def read(self, partition) -> Iterator[tuple]:
+        o = self.options
+        yield from token_pages(o["url"], o["token_url"], o["pattern"], int(o.get("step", 0)), int(o["limit"]) if "limit" in o else None, spacing=float(o.get("spacing", 0.125)), retries=int(o.get("retries", 10)))
+
+
+def hits(pages: DataFrame, pattern: str, url: str, spacing: float = 0.125, retries: int = 10) -> DataFrame:
+    """(hit, body): of the bodies of ``pages``, every different match of ``pattern``'s first group, read from '{hit}' of ``url``. Hits are dealt over tasks; one that can't be read has no body."""
+    found = pages.select(F.explode(F.regexp_extract_all("body", F.lit(pattern), F.lit(1))).alias("hit")).distinct()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for hit in frame["hit"]:
+                try:
+                    rows.append((hit, fetch(url.replace("{hit}", urllib.parse.quote(hit)), spacing, retries)))
+                except OSError:
+                    rows.append((hit, None))
+            yield pd.DataFrame(rows, columns=["hit", "body"])
+
+    return found.mapInPandas(run, "hit string, body string")
+
+
+def limited(records: DataFrame, most: int | None) -> DataFrame:
+    """At most so many records, for a trial run of a source; all without a number."""
+    return records if most is None else records.limit(most)
+
+
 class _Page(InputPartition):
     def __init__(self, number: int):
         self.number = number
