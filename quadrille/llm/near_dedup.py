@@ -282,8 +282,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     found = common.written(_found(docs, id_col, text_col, shingle, percent).select("doc_id", F.coalesce("node", F.lit(b"")).alias("key"), "root", "kept"), "near-copies")
     # an id that has several texts in one component: the one of the smallest node stays
-    several = found.where("kept and root is not null and doc_id is not null").groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first != last").select("root", "first")
-    once = found.join(several, "root", "left").select("doc_id", "key", (F.col("kept") & F.coalesce(F.col("key") == F.col("first"), F.lit(True))).alias("kept"))
+    # rows that go anyway needn't meet it: a large component has one open row or few
+    open_ = F.coalesce(F.col("kept") & F.col("root").isNotNull() & F.col("doc_id").isNotNull(), F.lit(False))
+    judged = found.where(open_)
+    several = judged.groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first != last").select("root", "first")
+    once = judged.join(several, "root", "left").select("doc_id", "key", F.coalesce(F.col("key") == F.col("first"), F.lit(True)).alias("kept"))
+    once = once.unionByName(found.where(~open_).select("doc_id", "key", "kept"))
     # rows that agree in id and set: a second one is marked, so that they are looked up
     twice = once.where("doc_id is not null and kept and octet_length(key) > 0").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key", F.lit(False).alias("kept"))
     key = _node(shingle)(F.coalesce(docs[text_col], F.lit("")))
