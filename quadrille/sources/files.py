@@ -1,10 +1,11 @@
-"""CSV, JSON and XML records as statements; N-Triples as a sink and a source."""
+"""CSV, JSON and XML records as statements; N-Triples as a sink and a source, RDF/XML as a source."""
 
 from __future__ import annotations
 
 import json
 import re
 import unicodedata
+import urllib.parse
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator, Mapping
 
@@ -134,3 +135,95 @@ def read_ntriples(spark: SparkSession, path: str, graph: str | None = None) -> D
         F.when(part[3] != "", "iri").otherwise("lit").alias("o_kind"), F.when(part[6] != "", part[6]).alias("o_dt"), F.when(part[5] != "", part[5]).alias("o_lang"),
     )
     return terms.quads(rows)
+
+
+_RDF_SKIP = frozenset(terms.RDF + n for n in ("about", "ID", "nodeID", "resource", "datatype", "parseType", "Description"))
+
+
+def _rdf_xml(record: str, source: str | None) -> Iterator[tuple]:
+    """(s, p, o, o_kind, o_dt, o_lang) of one RDF/XML document: node elements and property elements, nested or referred to. Nodes without a name get one of their record and place. A document that doesn't parse gives nothing."""
+    if not source:
+        return
+    try:
+        root = ET.fromstring(source)
+    except ET.ParseError:
+        return
+    rdf, space = "{" + terms.RDF + "}", "{http://www.w3.org/XML/1998/namespace}"
+
+    def name(tag: str) -> str:
+        return tag[1:].replace("}", "", 1) if tag.startswith("{") else tag
+
+    def full(reference: str, base: str) -> str:
+        return urllib.parse.urljoin(base, reference) if base else reference
+
+    def of(e: ET.Element, place: str, base: str) -> str:
+        if (at := e.get(rdf + "about")) is not None:
+            return full(at, base)
+        if (at := e.get(rdf + "ID")) is not None:
+            return full("#" + at, base)
+        return f"_:{record}-{e.get(rdf + 'nodeID') or 'at' + place}"
+
+    def own(e: ET.Element, subject: str, lang: str | None) -> Iterator[tuple]:
+        for k, v in e.attrib.items():
+            if k.startswith("{") and not k.startswith(space) and name(k) not in _RDF_SKIP:
+                yield subject, name(k), v, "iri" if name(k) == TYPE else "lit", None, lang if name(k) != TYPE else None
+
+    nodes = list(root) if root.tag == rdf + "RDF" else [root]
+    stack = [(e, str(n), root.get(space + "base", ""), root.get(space + "lang")) for n, e in enumerate(nodes)]
+    while stack:
+        e, place, base, lang = stack.pop()
+        base, lang = e.get(space + "base", base), e.get(space + "lang", lang)
+        subject = of(e, place, base)
+        if e.tag != rdf + "Description":
+            yield subject, TYPE, name(e.tag), "iri", None, None
+        yield from own(e, subject, lang)
+        items = 0
+        for n, c in enumerate(e):
+            here, at, inner = f"{place}.{n}", c.get(space + "base", base), c.get(space + "lang", lang)
+            p, resource, kind = name(c.tag), c.get(rdf + "resource"), c.get(rdf + "parseType")
+            if c.tag == rdf + "li":
+                items += 1
+                p = f"{terms.RDF}_{items}"
+            if resource is not None or c.get(rdf + "nodeID") is not None:
+                o = full(resource, at) if resource is not None else f"_:{record}-{c.get(rdf + 'nodeID')}"
+                yield subject, p, o, "iri", None, None
+                yield from own(c, o, inner)
+            elif kind == "Literal":
+                yield subject, p, (c.text or "") + "".join(ET.tostring(x, encoding="unicode") for x in c), "lit", terms.RDF + "XMLLiteral", None
+            elif kind == "Resource":
+                o = f"_:{record}-at{here}"
+                yield subject, p, o, "iri", None, None
+                part = ET.Element(rdf + "Description", {rdf + "nodeID": "at" + here})
+                part.extend(list(c))
+                stack.append((part, here, at, inner))
+            elif kind == "Collection":
+                links = [f"_:{record}-at{here}.{k}" for k in range(len(c))] + [terms.RDF + "nil"]
+                yield subject, p, links[0], "iri", None, None
+                for k, x in enumerate(c):
+                    yield links[k], terms.RDF + "first", of(x, f"{here}.{k}x", x.get(space + "base", at)), "iri", None, None
+                    yield links[k], terms.RDF + "rest", links[k + 1], "iri", None, None
+                    stack.append((x, f"{here}.{k}x", at, inner))
+            elif len(c):
+                yield subject, p, of(c[0], here, c[0].get(space + "base", at)), "iri", None, None
+                stack.append((c[0], here, at, inner))
+            else:
+                dt = c.get(rdf + "datatype")
+                yield subject, p, c.text or "", "lit", dt, None if dt else inner
+
+
+def rdf_xml(records: DataFrame, id_col: str, source_col: str, graph: str | None = None) -> DataFrame:
+    """Statements of RDF/XML documents, one a row. Documents stay whole; nothing is shuffled. Depth is not limited."""
+    columns = ["s", "p", "o", "o_kind", "o_dt", "o_lang"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [row for i, x in zip(frame["record"], frame["source"], strict=True) for row in _rdf_xml(i, x)]
+            yield pd.DataFrame(found, columns=columns, dtype=object)
+
+    rows = records.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("record"), F.col(source_col).alias("source"))
+    return terms.quads(rows.mapInPandas(run, ", ".join(f"{c} string" for c in columns)).withColumn("g", F.lit(graph).cast("string")))
+
+
+def read_rdf_xml(spark: SparkSession, path: str, graph: str | None = None) -> DataFrame:
+    """Statements of RDF/XML files; a file is one document."""
+    return rdf_xml(spark.read.text(path, wholetext=True).select(F.sha2(F.input_file_name(), 256).alias("file"), "value"), "file", "value", graph)
