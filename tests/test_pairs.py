@@ -26,3 +26,12 @@ def test_pairs_come_once(spark):
 def test_pairs_of_dates_are_not_shuffled(spark):
     plan = __spark_entry__.queries()["atom_date"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan and "Aggregate" not in plan
+
+
+def test_a_large_value_is_shared_out(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "PAIRS_A_TASK", 100)
+    rows = [(x, "much" if x < 80 else f"v{x % 9}") for x in range(120)] + [(200, "much"), (200, "v1")]
+    found = resolve.agreeing(spark.createDataFrame(rows, "x long, value string"))
+    assert made(found) == plain(rows)
+    alone = resolve.agreeing(spark.createDataFrame(rows[:80], "x long, value string"))
+    assert sum(n > 0 for n in alone.rdd.glom().map(len).collect()) > 10
