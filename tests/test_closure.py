@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from quadrille.operators import resolve
+from quadrille import terms
+from quadrille.operators import merge, resolve
 
 
 def rounds(edges, n):
@@ -43,3 +44,13 @@ def test_a_closed_class_is_one_node(spark, monkeypatch):
     monkeypatch.setattr(resolve, "written", counted)
     assert resolve.transitive(spark.createDataFrame([(x, y) for x in range(60) for y in range(60)], "x long, y long")).isEmpty()
     assert max(sizes["closure"]) == 0
+
+
+def test_rules_that_read_nothing_found_run_once(spark, monkeypatch):
+    rows = [(f"http://t/{x}", p, o) for x in "abc" for p, o in ((terms.TYPE, "http://t/K"), ("http://t/code", "1"))]
+    q = terms.quads(spark.createDataFrame([(s, p, o, "iri" if "://" in o else "lit") for s, p, o in rows], "s string, p string, o string, o_kind string"))
+    ran, rule = [], merge.Evaluation.rule
+    monkeypatch.setattr(merge.Evaluation, "rule", lambda self, r: ran.append(r.name) or rule(self, r))
+    rules = [merge.MergeRule("code", "http://t/K", (merge.Atom("http://t/code"),)), merge.MergeRule("link", "http://t/K", (merge.Atom(None, "http://t/link"),))]
+    same, _ = merge.run(q, rules)
+    assert same.count() == 6 and ran == ["code", "link", "link"]
