@@ -35,3 +35,8 @@ def test_a_large_value_is_shared_out(spark, monkeypatch):
     assert made(found) == plain(rows)
     alone = resolve.agreeing(spark.createDataFrame(rows[:80], "x long, value string"))
     assert sum(n > 0 for n in alone.rdd.glom().map(len).collect()) > 10
+
+
+def test_pairs_of_intervals_are_not_shuffled(spark):
+    plan = __spark_entry__.queries()["atom_interval"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan
