@@ -54,3 +54,35 @@ def test_rules_that_read_nothing_found_run_once(spark, monkeypatch):
     rules = [merge.MergeRule("code", "http://t/K", (merge.Atom("http://t/code"),)), merge.MergeRule("link", "http://t/K", (merge.Atom(None, "http://t/link"),))]
     same, _ = merge.run(q, rules)
     assert same.count() == 6 and ran == ["code", "link", "link"]
+
+
+def test_a_closed_set_of_edges_is_not_closed_again(spark, monkeypatch):
+    rows = [(f"http://t/{x}", p, o) for x in "abcd" for p, o in ((terms.TYPE, "http://t/K"), ("http://t/code", "1"))]
+    q = terms.quads(spark.createDataFrame([(s, p, o, "iri" if "://" in o else "lit") for s, p, o in rows], "s string, p string, o string, o_kind string"))
+    calls, transitive = [], resolve.transitive
+    monkeypatch.setattr(resolve, "transitive", lambda *a, **k: calls.append(1) or transitive(*a, **k))
+    same, _ = merge.run(q, [merge.MergeRule("code", "http://t/K", (merge.Atom("http://t/code"),))])
+    assert same.count() == 12 and not calls
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (3, 2)], "x long, y long")
+    assert not resolve.closed(edges, resolve.classes(edges))
+
+
+def test_rules_are_evaluated_again_only_for_objects_whose_class_changed(spark, monkeypatch):
+    told = [("a1", "code", '1'), ("a2", "code", '1'), ("b1", "of", "a1"), ("b2", "of", "a2"), ("c1", "in", "b1"), ("c2", "in", "b2"), ("d1", "at", "e"), ("d2", "at", "e")]
+    rows = [(f"http://t/{s}", f"http://t/{p}", o if p == "code" else f"http://t/{o}", "lit" if p == "code" else "iri") for s, p, o in told]
+    rows += [(f"http://t/{s}", terms.TYPE, f"http://t/{s[0]}", "iri") for s in {s for s, _, _ in told}]
+    q = terms.quads(spark.createDataFrame(rows, "s string, p string, o string, o_kind string"))
+    made, exact = [], merge.Evaluation.exact
+    monkeypatch.setattr(merge.Evaluation, "exact", lambda self, cls, *own: made.append(cls[-1]) or exact(self, cls, *own))
+    rules = [merge.MergeRule(f"by-{p}", f"http://t/{cls}", (merge.Atom(None, f"http://t/{p}"),)) for cls, p in (("b", "of"), ("c", "in"), ("d", "at"))]
+    same, _ = merge.run(q, [*rules, merge.MergeRule("by-code", "http://t/z", (merge.Atom("http://t/code"),)), merge.MergeRule("by-code", "http://t/a", (merge.Atom("http://t/code"),))], passes=2)
+    assert {(r["x"][-2:], r["y"][-2:]) for r in same.collect()} == {(f"{k}{i}", f"{k}{3 - i}") for k in "abcd" for i in (1, 2)}
+    assert made.count("d") == 1
+
+
+def test_classes_of_whole_edges(spark):
+    edges = {e for x, y in DIRECTED + CHAIN + copies([("k", "l")], 3) if x != y for e in ((x, y), (y, x))}
+    plain, first = (sorted(map(tuple, resolve.classes(spark.createDataFrame(sorted(edges), "x string, y string"), whole=w).collect())) for w in (False, True))
+    assert plain == first
+    some, rest = [[e for e in sorted(edges) if (min(e) < "05") == small] for small in (True, False)]
+    assert sorted(map(tuple, resolve.extended(resolve.classes(spark.createDataFrame(some, "x string, y string")), spark.createDataFrame(rest, "x string, y string")).collect())) == plain
