@@ -40,3 +40,28 @@ def test_a_large_value_is_shared_out(spark, monkeypatch):
 def test_pairs_of_intervals_are_not_shuffled(spark):
     plan = __spark_entry__.queries()["atom_interval"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan and "Aggregate" not in plan
+
+
+def test_a_value_of_one_row_leaves_early(spark, monkeypatch):
+    sizes, write = {}, resolve.written
+
+    def counted(df, name):
+        table = write(df, name)
+        sizes.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(resolve, "written", counted)
+    rows = [(x, f"v{x}") for x in range(50)] + [(x, "shared") for x in range(3)]
+    assert made(resolve.agreeing(spark.createDataFrame(rows, "x long, value string"))) == plain(rows)
+    assert sizes["agreeing"] == [53, 3]
+
+
+def test_ends_of_an_interval_meet_their_times_before_each_other(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "agreeing", lambda rows, differ: rows)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = __spark_entry__.queries()["atom_interval"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") <= 10
