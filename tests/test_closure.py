@@ -86,3 +86,25 @@ def test_classes_of_whole_edges(spark):
     assert plain == first
     some, rest = [[e for e in sorted(edges) if (min(e) < "05") == small] for small in (True, False)]
     assert sorted(map(tuple, resolve.extended(resolve.classes(spark.createDataFrame(some, "x string, y string")), spark.createDataFrame(rest, "x string, y string")).collect())) == plain
+
+
+def test_what_a_rule_compares_is_made_once(spark, monkeypatch):
+    told = [("a1", "code", "1"), ("a2", "code", "1"), ("b1", "of", "a1"), ("b2", "of", "a2"), ("b2", "of", "a1"), ("b1", "for", "k"), ("b2", "for", "k"), ("b3", "for", "k")]
+    rows = [(g, f"http://t/{s}", f"http://t/{p}", o if p == "code" else f"http://t/{o}", "lit" if p == "code" else "iri") for g in "gh" for s, p, o in told]
+    rows += [("g", f"http://t/{s}", terms.TYPE, f"http://t/{s[0]}", "iri") for s in {s for s, _, _ in told}]
+    q = terms.quads(spark.createDataFrame(rows, "g string, s string, p string, o string, o_kind string"))
+    names, write = [], merge.written
+    monkeypatch.setattr(merge, "written", lambda df, name: names.append(name) or write(df, name))
+    rules = [merge.MergeRule("both", "http://t/b", (merge.Atom(None, "http://t/of"), merge.Atom(None, "http://t/for"))), merge.MergeRule("code", "http://t/z", (merge.Atom("http://t/code"),)), merge.MergeRule("code", "http://t/a", (merge.Atom("http://t/code"),))]
+    for r in (rules, [merge.MergeRule("both", "http://t/a", rules[0].atoms), *rules]):
+        names.clear()
+        same, _ = merge.run(q, r)
+        assert sorted((x["x"][-2:], x["y"][-2:]) for x in same.collect()) == [("a1", "a2"), ("a2", "a1"), ("b1", "b2"), ("b2", "b1")]
+        assert names.count("values") == len(r) - 2
+
+
+def test_stored_rows_may_have_repeats(spark):
+    rows = [(x, f"v{x % 4}") for x in range(12)] * 2 + [(20 + x, f"w{x}") for x in range(60)]
+    for own in (rows, rows[:24]):
+        found = sorted(map(tuple, resolve.agreeing(spark.createDataFrame(own, "x long, value string"), stored=True).collect()))
+        assert found == sorted({(x, y) for x, v in own for y, w in own if v == w and x != y})
