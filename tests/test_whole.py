@@ -42,3 +42,13 @@ def test_pairs_within_a_large_class(spark, monkeypatch):
     rows = spark.createDataFrame([(x, x % 3) for x in range(40)], "x long, root long")
     monkeypatch.setattr(resolve, "PAIRS_A_TASK", 20)
     assert sorted((r["x"], r["x_y"]) for r in resolve.within(rows).collect()) == [(x, y) for x in range(40) for y in range(40) if x % 3 == y % 3]
+
+
+def test_statements_of_one_row_are_not_joined(spark, tmp_path, monkeypatch):
+    """Unless rows share a subject: then any statement of it goes with any other."""
+    monkeypatch.setattr(merge.Evaluation, "agreed", None)
+    assert e.queries()["merge_statistics"](spark, tables(spark, tmp_path / "a")).count() == 4
+    monkeypatch.undo()
+    monkeypatch.setattr("test_whole.PARTS", [(1, "a", 5, "B", "K"), (1, "b", 6, "C", "L"), (2, "a", 6, "B", "M")])
+    found = {r["rule"]: r["pairs"] for r in e.queries()["merge_statistics"](spark, tables(spark, tmp_path / "b")).collect()}
+    assert found == {"by-brand": 2, "offers": 2}
